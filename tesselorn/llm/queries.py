@@ -5,13 +5,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesselorn.llm import simhash
+from tesselorn.llm import interpolation, simhash, urlfilter
+
+#: Rules of the op1 contract: verdict, host, path prefix.
+RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return urlfilter.judge(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP1_SQL = """
+with u as (
+  select page_id, coalesce(url, '') as url from pages
+), h as (
+  select page_id,
+    translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path
+  from u
+), r(verdict, rule_host, rule_path) as (
+  values ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
+), m as (
+  select h.page_id, r.verdict, rule_host || rule_path as rule,
+    row_number() over (partition by h.page_id order by length(rule_host || rule_path) desc) as nth
+  from h join r on (h.host = rule_host or ends_with(h.host, '.' || rule_host)) and starts_with(h.path, rule_path)
+)
+select h.page_id, h.host, h.path, m.rule, coalesce(m.verdict, 'allow') as verdict
+from h left join m on m.page_id = h.page_id and m.nth = 1
+"""
+
+
+def op2_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation.score(_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(simhash.fingerprints(_table(spark, sf_dir, "documents")))
     return found.select("doc_id", simhash.as_hex(F.col("code")).alias("fingerprint"), "component_id")
@@ -19,9 +51,11 @@ def op10_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_bloom_cascade": op1_bloom_cascade,
+        "op2_deleted_interpolation": op2_deleted_interpolation,
         "op10_simhash_gray": op10_simhash_gray,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_bloom_cascade": OP1_SQL}
