@@ -66,8 +66,12 @@ def remainder(doc_id: Column, of: int = 5) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % of
 
 
-def crc(doc_id: int | None) -> int:
-    return zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+#: Stands for a null id where ids are packed in arrays.
+NO_ID = -(1 << 63)
+
+
+def crc(doc_id: int) -> int:
+    return zlib.crc32(b"" if doc_id == NO_ID else str(int(doc_id)).encode())
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:
@@ -78,7 +82,8 @@ def as_bytes(column: pa.Array) -> list[bytes]:
 def words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """All words of the texts, A-Z lower-cased, split at ``[\\x20\\x09-\\x0D]+``,
     in order; and how many each text has. Null gives none."""
-    texts = pc.fill_null(column.cast(pa.large_string()), "")
+    # a copy: the splitting kernel misreads arrays that are slices
+    texts = pc.fill_null(column.cast(pa.large_string()), "").take(pa.array(np.arange(len(column))))
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
     flat, offsets = lists.flatten(), lists.offsets.to_numpy()
     full = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tesselorn.llm import counts
-from tesselorn.llm.common import batch, crc, drop, hashed, mixed, pack, pack_sorted, unpack, unpack_sorted, words_of, written
+from tesselorn.llm.common import NO_ID, batch, crc, drop, hashed, mixed, pack, pack_sorted, unpack, unpack_sorted, words_of, written
 
 END = np.uint64(0xE0D0E0D0E0D0E0D0)
 START = np.uint64(0x57A2757A2757A275)
@@ -38,11 +38,11 @@ BLOCK = pa.schema([("block", pa.string()), ("held", pa.bool_()), ("ids", pa.list
 BLOCK_DDL = "block string, held boolean, ids array<long>, sizes array<int>, vocabulary binary, tokens binary"
 
 
-def trains(doc_id: int | None) -> bool:
+def trains(doc_id: int) -> bool:
     return crc(doc_id) % 5 != 1
 
 
-def holds(doc_id: int | None) -> bool:
+def holds(doc_id: int) -> bool:
     """Whether a training document is held out of the counts for the weights."""
     return trains(doc_id) and crc(doc_id) // 5 % HELD == 0
 
@@ -58,7 +58,6 @@ def blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             ids, sizes, tokens = (np.concatenate([x[i] for x in kept[held]]) for i in range(3))
             vocabulary, where = np.unique(tokens, return_inverse=True)
             kept[held], size[held] = [], 0
-            ids = [None if i is None else int(i) for i in ids]
             return batch(BLOCK, block=[uuid.uuid4().hex], held=[held], ids=[ids], sizes=[sizes], vocabulary=[pack_sorted(vocabulary)], tokens=[pack(where)])
 
         for b in batches:
@@ -68,7 +67,7 @@ def blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 ends = np.cumsum(sizes)
                 tokens = np.insert(hashed(words), ends, END)  # an end after each text
                 sizes = (sizes + 1).astype(np.int32)
-                ids = np.array(part.column(0).to_pylist(), object)
+                ids = part.column(0).fill_null(NO_ID).to_numpy()
                 held = np.array([holds(i) for i in ids], bool)
                 for flag in (False, True):
                     if (held == flag).any():
@@ -214,8 +213,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     (total, kept), (kinds, kept_kinds) = counts.totals(answered, 2)
 
     ids = table.select(F.explode("ids").alias("id"))
-    is_train = (F.crc32(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")) % 5) != 1
-    is_held = is_train & (F.floor(F.crc32(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")) / 5) % HELD == 0)
+    crc32 = F.crc32(F.when(F.col("id") == NO_ID, "").otherwise(F.col("id").cast("string")).cast("binary"))
+    is_train = crc32 % 5 != 1
+    is_held = is_train & (F.floor(crc32 / 5) % HELD == 0)
     n = ids.agg(F.count_if(is_train).alias("all"), F.count_if(is_train & ~is_held).alias("kept")).first()
     weights = _fit(_held_counts(table, answered, order, n["kept"]), order, kept, kept_kinds)
     documents = n["all"]
@@ -237,6 +237,6 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
         train, _ = _flags(row)
         size = len(train)
         known = np.bincount(doc, found[0] > 0, size).astype(np.int64)
-        return pd.DataFrame({"doc_id": pd.array(list(row["ids"]), "Int64"), "held_out": ~train, "n_tokens": np.asarray(row["sizes"], np.int64), "n_known": known, "train_tokens": total, "base_score": np.bincount(doc, base, size), "score": np.bincount(doc, np.log10(p), size)})
+        return pd.DataFrame({"doc_id": pd.array([None if i == NO_ID else int(i) for i in row["ids"]], "Int64"), "held_out": ~train, "n_tokens": np.asarray(row["sizes"], np.int64), "n_known": known, "train_tokens": total, "base_score": np.bincount(doc, base, size), "score": np.bincount(doc, np.log10(p), size)})
 
     return table.groupBy("block").cogroup(answered.where("block <> ''").groupBy("block")).applyInPandas(sums, ddl)

@@ -27,7 +27,7 @@ from tesselorn.llm.common import as_bytes, batch, components, drop, written
 SEED = 42
 SHINGLE = 3
 RADIUS = 2
-RANGE_CODES = 4096
+RANGE_CODES = 1 << 16
 FAN = 16
 #: Pairs of query and node that a search holds at once, about.
 FRONTIER = 1_000_000
@@ -54,16 +54,17 @@ def simhash(data: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, code): the fingerprint of each whole text as a signed long.
-    Null text counts as empty; a null id stays null; repeated rows stay."""
-    schema = pa.schema([("doc_id", pa.int64()), ("code", pa.int64())])
+    """(doc_id, text_hash, code): the fingerprint of each whole text as a signed
+    long, and the text's hash to find the row by where ids repeat. Null text
+    counts as empty; a null id stays null; repeated rows stay."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("code", pa.int64())])
 
     def fold(batches):
         for b in batches:
-            codes = np.array([simhash(t) for t in as_bytes(b.column(1))], np.uint64)
-            yield batch(schema, doc_id=b.column(0), code=codes.view(np.int64))
+            codes = np.array([simhash(t) for t in as_bytes(b.column(2))], np.uint64)
+            yield batch(schema, doc_id=b.column(0), text_hash=b.column(1), code=codes.view(np.int64))
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(fold, "doc_id long, code long")
+    return docs.select(F.col(id_col).cast("long"), F.xxhash64(text_col), F.col(text_col)).mapInArrow(fold, "doc_id long, text_hash long, code long")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -203,7 +204,7 @@ def connected(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, code, component_id) for each row of ``fingerprints``: documents
+    """(doc_id, text_hash, code, component_id) for each row of ``fingerprints``: documents
     link where codes differ in at most ``radius`` bits; component_id is the
     smallest doc_id reached, itself included. Null ids take part in links but
     are never the smallest; a component of null ids alone has a null id.
@@ -215,7 +216,7 @@ def near_duplicates(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     groups = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     # only codes that are linked need the join by root
     labels = written(joined.join(groups, "root").select("code", "component_id"))
-    return prints.join(labels, "code").select("doc_id", "code", "component_id")
+    return prints.join(labels, "code").select("doc_id", "text_hash", "code", "component_id")
 
 
 def as_hex(code: Column) -> Column:
