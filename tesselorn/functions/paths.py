@@ -25,6 +25,11 @@ def file_path(gen: Column, sid: Column, root: str) -> Column:
     return F.concat_ws("/", F.lit(root), gen.cast("string"), bucket(sid), file_name(gen, sid))
 
 
+def scan_key(gen: Column, sid: Column) -> Column:
+    """Orders documents as a scan meets them: by path, as text."""
+    return F.concat_ws("/", gen.cast("string"), bucket(sid), file_name(gen, sid))
+
+
 def window_start(sid: Column) -> Column:
     return (F.floor(sid / WINDOW) * WINDOW).cast("long")
 

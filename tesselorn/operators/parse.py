@@ -134,3 +134,17 @@ def parsed(raw: DataFrame) -> DataFrame:
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in raw.schema.fields)
     return raw.mapInArrow(fold, f"{fields}, {PARSED_DDL}")
+
+
+def checked(raw: DataFrame) -> DataFrame:
+    """``raw`` (with a binary column content) and valid: whether it is a document."""
+    names = raw.columns
+    at = names.index("content")
+
+    def fold(batches):
+        for b in batches:
+            valid = pa.array([is_document(x or b"") for x in b.column(at).to_pylist()], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*b.columns, valid], names=[*names, "valid"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in raw.schema.fields)
+    return raw.mapInArrow(fold, f"{fields}, valid boolean")

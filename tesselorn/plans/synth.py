@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tesselorn.functions import paths
 from tesselorn.functions.fixed import FILE_PREFIX, VARIATIONS
 from tesselorn.operators import features, parse
 from tesselorn.sources.tables import table
@@ -55,9 +56,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Index records; scan_seq orders them as their paths do (gen, then number:
-    equal lengths within a generation are not needed, only a total order)."""
-    return features.records(parse.parsed(documents(spark, sf_dir))).withColumn("scan_seq", F.col("gen").cast("long") * (1 << 40) + F.col("sheep_id"))
+    """Index records, with scan_seq."""
+    return features.records(parse.parsed(documents(spark, sf_dir))).withColumn("scan_seq", paths.scan_key(F.col("gen"), F.col("sheep_id")))
 
 
 def first_wins(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
