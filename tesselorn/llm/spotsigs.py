@@ -35,15 +35,16 @@ def signatures(text: Column, chain: int = CHAIN, common: list[str] = COMMON) ->
     no anchor is followed by a whole chain has one signature, all its words; a
     text without words has one if it is not empty, and else none. Null: as empty."""
     whole = F.coalesce(text, F.lit(""))
-    words = F.concat(F.lit(" "), F.regexp_replace(F.lower(whole), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
-    words = F.regexp_replace(words, r" {2,}", " ")
+    body = F.trim(F.regexp_replace(F.lower(whole), r"[^\p{L}\p{N}]+", " "))
+    words = F.concat(F.lit(" "), body, F.lit(" "))
     anchor = "(?:" + "|".join(sorted(common, key=len, reverse=True)) + ")"
     passed = f"(?: {anchor}(?= ))*+"
     spot = f" {anchor}(?=((?:{passed} [^ ]++){{{chain}}}) )"
     chains = F.regexp_extract_all(words, F.lit(spot), F.lit(1))
     hashes = F.transform(chains, lambda c: F.xxhash64(F.regexp_replace(c, f" {anchor}(?= )", "")).bitwiseAND(F.lit(0xFFFFFFFF)))
-    alone = F.when(whole == "", F.array().cast("array<bigint>")).otherwise(F.array(F.xxhash64(F.when(words == " ", whole).otherwise(words)).bitwiseAND(F.lit(0xFFFFFFFF))))
-    found = F.when(F.size(hashes) > 0, hashes).otherwise(alone)
+    alone = F.when(whole == "", F.array().cast("array<bigint>")).otherwise(F.array(F.xxhash64(F.when(body == "", whole).otherwise(words)).bitwiseAND(F.lit(0xFFFFFFFF))))
+    # bound by a lambda: a column named twice would be searched for twice
+    found = F.get(F.transform(F.array(hashes), lambda h: F.when(F.size(h) > 0, h).otherwise(alone)), F.lit(0))
     return F.array_sort(F.array_distinct(found))
 
 
