@@ -52,6 +52,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         when 0 then repeat(flame, int(2 + o_orderkey % 3)) when 1 then '' when 2 then concat(flame, ' tail') when 3 then 'none'
         when 4 then '<html><body>x</body></html>' when 5 then concat('<get>', flame, '</get>')
         else concat(if(o_orderkey % 2 = 0, '<?xml version="1.0"?>', ''), flame) end""")
+    # few bytes, much work: without this one small file would be parsed by one task
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    both = both.repartition(tasks, "o_orderkey")
     return both.withColumn("flame", flame).select((240 + F.col("o_orderkey") % 10).cast("int").alias("gen"), F.col("o_orderkey").alias("sheep_id"), content.cast("binary").alias("content"), F.lit(False).alias("sealed"))
 
 
