@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 
@@ -12,30 +13,28 @@ WORD_BITS = 18
 STRUCTURE = ["log words", "log chars a word", "upper case", "digits", "marks", "distinct words", "commonest word", "words with marks inside or doubled", "repeated lines", "log lines", "log n_chars"]
 
 
-def words(text: bytes) -> np.ndarray:
-    """Bucket of each distinct lower-cased word, ascending."""
-    mask = (1 << WORD_BITS) - 1
-    return np.array(sorted({zlib.crc32(w) & mask for w in set(text.lower().split())}), np.int32)
+def words(seen: Iterable[bytes]) -> np.ndarray:
+    """Bucket of each distinct lower-cased word of ``seen``, ascending."""
+    own = np.array(list(map(zlib.crc32, set(map(bytes.lower, seen)))), np.uint32)
+    return np.unique(own & np.uint32((1 << WORD_BITS) - 1)).astype(np.int32)
 
 
-_KIND = np.zeros(256, np.uint8)
-_KIND[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")] = 1
-_KIND[list(b"0123456789")] = 2
-_KIND[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = 3
+_UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_DIGITS = b"0123456789"
+_MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-def structure(text: bytes, n_chars: int | None = None) -> np.ndarray:
-    """Statistics of a text and its recorded length (as found where null)."""
-    tokens = text.split()
-    n = len(tokens)
-    kinds = np.bincount(_KIND[np.frombuffer(text, np.uint8)], minlength=4) if text else np.zeros(4, np.int64)
+def structure(text: bytes, seen: Counter, n_chars: int | None = None) -> np.ndarray:
+    """Statistics of a text, whose words ``seen`` counts, and of its recorded
+    length (as found where null)."""
+    n = seen.total()
+    upper, digits, marks = (len(text) - len(text.translate(None, kind)) for kind in (_UPPER, _DIGITS, _MARKS))
     size = max(len(text), 1)
-    seen = Counter(tokens)
     lines = text.split(b"\n")
-    odd = sum(1 for w, k in seen.items() for _ in range(k) if len(w) > 1 and w[-1] in b"!#$%&*|" or w == b"|")
+    odd = sum(k for w, k in seen.items() if len(w) > 1 and w[-1] in b"!#$%&*|" or w == b"|")
     length = len(text) if n_chars is None else n_chars
     return np.array([
-        np.log1p(n) / 4, np.log1p(len(text) / max(n, 1)), kinds[1] / size, kinds[2] / size, 4 * kinds[3] / size,
+        np.log1p(n) / 4, np.log1p(len(text) / max(n, 1)), upper / size, digits / size, 4 * marks / size,
         len(seen) / max(n, 1), max(seen.values(), default=0) / max(n, 1), odd / max(n, 1),
         1 - len(set(lines)) / len(lines), np.log1p(len(lines)) / 3, np.log1p(max(length, 0)) / 6,
     ], np.float32)

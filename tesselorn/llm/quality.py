@@ -11,6 +11,7 @@ It is fitted on the driver over a bounded sample of labelled rows
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,9 +46,10 @@ class Machine:
 
 
 def inputs(text: bytes, n_chars: int | None) -> tuple[np.ndarray, np.ndarray]:
-    own = words(text)
+    seen = Counter(text.split())
+    own = words(seen)
     at = np.concatenate([own, np.arange(len(STRUCTURE), dtype=np.int32) + (1 << WORD_BITS)])
-    x = np.concatenate([np.full(len(own), 1 / np.sqrt(max(len(own), 1)), np.float32), structure(text, n_chars)])
+    x = np.concatenate([np.full(len(own), 1 / np.sqrt(max(len(own), 1)), np.float32), structure(text, seen, n_chars)])
     return at, x
 
 
