@@ -73,7 +73,7 @@ def totals(answered: DataFrame, kinds: int) -> tuple[list[int], list[int]]:
     return [row[f"s{i}"] for i in range(kinds)], [row[f"k{i}"] for i in range(kinds)]
 
 
-def answers(rows: pd.DataFrame, kinds: int) -> list[np.ndarray]:
-    """A block's reply rows as arrays along its sorted distinct keys."""
-    lists = [parted(c) for c in rows.sort_values("part")["counts"]]
-    return [np.concatenate([unpack(x[i]) for x in lists]).astype(np.int64) if lists else np.zeros(0, np.int64) for i in range(kinds)]
+def answers(rows: pd.DataFrame, kind: int) -> np.ndarray:
+    """One kind of count of a block's reply rows, along its sorted distinct keys."""
+    lists = [unpack(parted(c)[kind]).view(np.int64) for c in rows.sort_values("part")["counts"]]
+    return np.concatenate(lists) if lists else np.zeros(0, np.int64)

@@ -118,8 +118,9 @@ def _requests(table: DataFrame, order: int, parts: int) -> DataFrame:
 def _seen(row, replies: pd.DataFrame, order: int, kind: int, documents: int):
     """Count of each token's k-gram and of its history, k from 1 to order."""
     keys, doc, place = _grams(row, order)
-    _, where = np.unique(np.concatenate(keys), return_inverse=True)
-    found = counts.answers(replies, 2)[kind][where].reshape(order, -1)
+    # places are looked up an order at a time: no sort order of all keys is held
+    every, answer = np.unique(np.concatenate(keys)), counts.answers(replies, kind)
+    found = np.stack([answer[np.searchsorted(every, k)] for k in keys])
     histories = [np.where(place > 0, np.roll(found[k - 1], 1), documents) for k in range(1, order)]
     return found, histories, doc, place
 

@@ -202,7 +202,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
         out = {"query_id": [], "doc_id": [], "score": []}
         if not left.empty:
             known = right[right["part"] >= 0].rename(columns={"data": "counts"})
-            df = counts.answers(known, 1)[0]
+            df = counts.answers(known, 0)
             shard = Shard(left.iloc[0], df, n, mean)
             for data in right.loc[right["part"] < 0, "data"]:
                 ids, sizes, terms = map(unpack, parted(data))
