@@ -38,6 +38,18 @@ def absent(spark: SparkSession, root: str) -> DataFrame:
     return reduce(DataFrame.unionByName, lists) if lists else spark.createDataFrame([], "gen int, sheep_id long")
 
 
+def remember(spark: SparkSession, root: str, source: str, gen: int | None) -> None:
+    """Merges the absences of a source's side file into a generation's list."""
+    side, kept = Path(source) / "_missing_404.txt", Path(root) / str(gen) / "missing.txt"
+    if gen is None or not side.exists():
+        return
+    both = ingest.sidecar_ids(spark, str(side), gen)
+    if kept.exists():
+        both = both.union(ingest.missing_ids(spark, str(kept), gen)).distinct()
+    text = "".join(f"{r['sheep_id']}\n" for r in both.orderBy("sheep_id").toLocalIterator())
+    release.atomic(str(kept), text.encode())
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="tesselorn")
     p.add_argument("command", choices=["index", "release-build", "chunk", "status", "gaps", "import", "baseline", "verify", "migrate"])
@@ -76,10 +88,14 @@ def main(argv: list[str] | None = None) -> int:
         for r in ingest.gaps(spark, a.gen, *ingest.parse_range(a.span), raw, gone).orderBy("sheep_id").toLocalIterator():
             print(r["sheep_id"])
     elif a.command == "import":
-        new = ingest.imported(scanned(spark, a.source), raw.drop("content"), a.gen)
+        if not a.source or not Path(a.source).is_dir():
+            raise FileNotFoundError(f"import source not found: {a.source}")
+        source = spark.read.format("flamecorpus").option("layout", "any").load(a.source)
+        new = ingest.imported(source, raw.drop("content"), a.gen)
         for r in new.toLocalIterator():
             name = f"{r['gen']}/{r['sheep_id'] // paths.BUCKET * paths.BUCKET:05d}/{paths.FILE_PREFIX}.{r['gen']}.{r['sheep_id']:05d}.flam3"
             release.atomic(f"{a.corpus}/{name}", bytes(r["content"]))
+        remember(spark, a.corpus, a.source, a.gen if a.gen is not None else next((r["gen"] for r in source.select("gen").limit(1).collect()), None))
     elif a.command == "baseline":
         release.atomic(f"{out}/baseline.json", layout.baseline_json(layout.counts(raw, gone), "chunked-1").encode())
     elif a.command == "verify":

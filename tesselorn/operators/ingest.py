@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import time
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,8 +84,9 @@ def missing_ids(spark: SparkSession, path: str, gen: int) -> DataFrame:
 
 
 def sidecar_ids(spark: SparkSession, path: str, gen: int) -> DataFrame:
-    """The same of a scraper's side file; other lines are passed over."""
-    lines = spark.read.text(path).select(F.trim("value").alias("v")).where(F.col("v").rlike(r"^-*\d+$"))
+    """The same of a scraper's side file; other lines are passed over. Spark's
+    readers skip names that begin with an underscore, as the side file's does."""
+    lines = spark.createDataFrame([(x,) for x in Path(path).read_text().splitlines()], "value string").select(F.trim("value").alias("v")).where(F.col("v").rlike(r"^-*\d+$"))
     return lines.select(F.lit(gen).alias("gen"), F.col("v").try_cast("long").alias("sheep_id")).where("sheep_id is not null").distinct()
 
 

@@ -5,7 +5,8 @@
 
 Rows: gen, sheep_id, content, sealed, path. Loose files win over sealed members
 of the same id, the first path over later ones; contents are read only for the
-winners. Zero-byte files are rows. Hidden folders are searched too. The root is
+winners. With option layout = any, canonical names anywhere under the root are
+rows, whatever their folders; archives are not opened. Zero-byte files are rows. Hidden folders are searched too. The root is
 a folder that driver and executors see under one path.
 """
 
@@ -50,12 +51,22 @@ def listing(root: str, gen: int | None = None) -> list[tuple[int, int, bool, str
     return [(*k, *v) for k, v in found.items()]
 
 
+def loose(root: str) -> list[tuple[int, int, bool, str, str]]:
+    """The same of canonical files anywhere under a root, by their names alone:
+    an import's source. First path wins."""
+    found: dict[tuple[int, int], tuple] = {}
+    for path in sorted(str(p) for p in Path(root).rglob(f"{FILE_PREFIX}.*.flam3")):
+        if m := _NAME.match(os.path.basename(path)):
+            found.setdefault((int(m[1]), int(m[2])), (False, path, ""))
+    return [(*k, *v) for k, v in found.items()]
+
+
 class CorpusReader(DataSourceReader):
     def __init__(self, options):
-        self.root, self.gen = options["path"], options.get("gen")
+        self.root, self.gen, self.layout = options["path"], options.get("gen"), options.get("layout")
 
     def partitions(self):
-        rows = listing(self.root, int(self.gen) if self.gen else None)
+        rows = loose(self.root) if self.layout == "any" else listing(self.root, int(self.gen) if self.gen else None)
         rows.sort(key=lambda r: (r[3], r[4]))
         return [Files(rows[i : i + FILES]) for i in range(0, len(rows), FILES)] or [Files([])]
 

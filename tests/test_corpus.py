@@ -143,6 +143,21 @@ def test_import_and_migrate(spark, corpus, tmp_path):
     assert not flat.exists() and (corpus / "244" / "10000" / flat.name).exists()
 
 
+def test_import_of_a_flat_source_with_a_side_file(spark, corpus, tmp_path):
+    source = tmp_path / "flat"
+    (source / "deep" / "9").mkdir(parents=True)
+    for name in ("electricsheep.244.00007.flam3", "deep/9/electricsheep.244.00031.flam3", "electricsheep.244.32.flam3"):
+        (source / name).write_bytes(b"<flame/>")
+    (source / "_missing_404.txt").write_text("12\n 15 \n# note\n--5\n\n9\n")
+    assert cli.main(["import", str(corpus), "--source", str(source)]) == 0
+    folder = corpus / "244" / "00000"
+    assert (folder / "electricsheep.244.00031.flam3").exists() and (folder / "electricsheep.244.00007.flam3").read_bytes() == ONE
+    assert not list(corpus.rglob("electricsheep.244.32.flam3")) and not list(corpus.rglob("*00032*"))
+    assert (corpus / "244" / "missing.txt").read_text() == "9\n11\n12\n15\n"
+    with pytest.raises(FileNotFoundError):
+        cli.main(["import", str(corpus), "--source", str(tmp_path / "nowhere")])
+
+
 def test_unsealed(spark):
     sealed = spark.createDataFrame([(244, 1, b"a"), (244, 2, b"b")], "gen int, sheep_id long, content binary")
     manifest = sealed.select(F.col("sheep_id").alias("id"), F.sha2("content", 256).alias("sha256"), F.octet_length("content").alias("file_size_bytes"))
