@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesselorn.functions import paths
+from tesselorn.functions.fixed import FILE_PREFIX
 from tesselorn.operators import delivery, features, ingest, layout, parse, release
 from tesselorn.sources.corpus import CorpusSource
 
@@ -100,7 +101,10 @@ def main(argv: list[str] | None = None) -> int:
         release.atomic(f"{out}/baseline.json", layout.baseline_json(layout.counts(raw, gone), "chunked-1").encode())
     elif a.command == "verify":
         recorded = layout.baseline(spark, f"{out}/baseline.json")
-        faults = [] if recorded is None else ingest.drift(recorded, layout.counts(raw, gone), ["loose_count", "missing_count", "bucket_count"]).collect()
+        root = Path(a.corpus)
+        flat = [(str(f.relative_to(root)),) for f in sorted(root.glob(f"*/{FILE_PREFIX}.*.flam3"))]
+        faults = ingest.flat_residue(spark.createDataFrame(flat, "path string")).orderBy("gen").collect()
+        faults += [] if recorded is None else ingest.drift(recorded, layout.counts(raw, gone), ["loose_count", "missing_count", "bucket_count"]).collect()
         for r in faults:
             print(f"generation {r['gen']}: {r['what']} was {r['expected']}, is {r['actual']}")
         return 1 if faults else 0

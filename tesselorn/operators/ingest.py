@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesselorn.functions.fixed import LIVE_GENS
+from tesselorn.functions.fixed import FILE_PREFIX, LIVE_GENS
 from tesselorn.operators.parse import is_document
 
 
@@ -99,6 +99,14 @@ def drift(baseline: DataFrame, current: DataFrame, counts: list[str]) -> DataFra
     return both.select("gen", F.inline(pairs)).where("actual < expected")
 
 
+def flat_residue(files: DataFrame) -> DataFrame:
+    """(gen, what, expected, actual): documents that lie flat at a generation's
+    root, of paths below the corpus. Any is a fault, with or without a baseline."""
+    gen = F.regexp_extract("path", rf"^([0-9]+)/{FILE_PREFIX}\.\1\..*\.flam3$", 1)
+    flat = files.select(gen.alias("gen")).where("gen <> ''").groupBy(F.col("gen").cast("int").alias("gen")).agg(F.count("*").alias("actual"))
+    return flat.select("gen", F.lit("flat_files").alias("what"), F.lit(0).cast("long").alias("expected"), "actual")
+
+
 def total_drift(baseline: DataFrame, current: DataFrame, counts: list[str]) -> DataFrame:
     """The same over the sum of the counts of a generation."""
     add = lambda df: df.select("gen", sum((F.col(c) for c in counts), F.lit(0)).alias("total"))

@@ -115,6 +115,21 @@ def test_guards(spark, corpus, tmp_path):
         ingest.require_live(244)
 
 
+def test_flat_files_are_a_fault(spark, corpus, tmp_path, capsys):
+    out = ["--out", str(tmp_path / "b")]
+    flat = corpus / "244" / "electricsheep.244.00007.flam3"
+    flat.write_bytes(b"<flame/>")  # a copy of one in its bucket: no count shrinks
+    assert cli.main(["verify", str(corpus), *out]) == 1  # without a baseline
+    assert "generation 244: flat_files was 0, is 1" in capsys.readouterr().out
+    cli.main(["baseline", str(corpus), *out])
+    assert cli.main(["verify", str(corpus), *out]) == 1
+    flat.unlink()
+    assert cli.main(["verify", str(corpus), *out]) == 0
+    files = ["244/electricsheep.244.00001.flam3", "244/electricsheep.245.00001.flam3", "244/00000/electricsheep.244.00002.flam3", "x/electricsheep.244.00003.flam3"]
+    got = ingest.flat_residue(spark.createDataFrame([(f,) for f in files], "path string")).collect()
+    assert [tuple(r) for r in got] == [(244, "flat_files", 0, 1)]
+
+
 def test_fetch(spark):
     present, gone = (spark.createDataFrame([(247, i)], "gen int, sheep_id long") for i in (1, 2))
     answers = {0: (200, b"<flame/>"), 3: (404, b""), 4: (200, b"<html/>"), 5: (503, b"")}
