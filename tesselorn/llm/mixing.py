@@ -166,6 +166,9 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget:
     """
     domains = train(docs, labelled, max_labelled)
     if sum(targets.get(d, 0.0) for d in domains.names) <= 0:
+        if docs.isEmpty():
+            shape = ["doc_id long", "text_hash long", "n_tokens long", *[f"p_{d} double" for d in sorted(targets)], "rate double", "copies int"]
+            return docs.sparkSession.createDataFrame([], ", ".join(shape))
         raise ValueError(f"targets {sorted(targets)} for the labelled domains {domains.names}")
     shares = np.array([targets.get(d, 0.0) for d in domains.names])
     table = written(members(docs, domains))

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 import corpus_pipeline
 from tesselorn.llm import nearsets
 
@@ -51,3 +53,11 @@ def test_near_dedup_finds_edited_copies(spark, docs_of, monkeypatch):
         assert got.columns == corpus_pipeline.COLUMNS
         assert sorted(r.doc_id for r in got.collect()) == want
     assert corpus_pipeline.near_dedup(spark, docs.limit(0), "").count() == 0
+
+
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES])
+def test_stages_of_an_empty_table(spark, docs_of, stage):
+    docs = docs_of([(1, "x")]).limit(0)
+    got = stage(spark, docs, "/root/testdata/sf0.001")
+    assert got.count() == 0
+    assert stage is corpus_pipeline.encode or got.columns == corpus_pipeline.COLUMNS
