@@ -1,12 +1,12 @@
-"""Exact top-k search: BM25 over an inverted index with block-max WAND.
+"""Exact top-k search: BM25 over an inverted index with block-max MaxScore.
 
 Documents are indexed in shards of consecutive rows, stored in the shared
 folder. Document frequencies are summed over all shards (``counts``), so scores
 use global statistics and the shards' top k merge exactly.
 
 In a shard, postings are sorted by document and cut into blocks; each term has
-a greatest impact, and one for each of its blocks. With the current k-th score
-as threshold: terms are taken by ascending greatest impact as long as their sum
+a greatest impact, and one for each of its blocks. The threshold is the k-th
+score of the documents of a few seed terms, set once and not raised: terms are taken by ascending greatest impact as long as their sum
 stays below it (a document with only such terms cannot enter); the documents
 of the other terms are candidates; a block of documents whose summed block
 maxima stay below is skipped whole; the rest are scored on the essential terms,
