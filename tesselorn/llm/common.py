@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
 import zlib
 
@@ -18,22 +17,27 @@ _made: list[tuple[SparkSession, str]] = []
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: the session's
-    ``spark.checkpoint.dir``; where it is unset (tests), a folder of our own."""
+    ``spark.checkpoint.dir``. Where it is unset (tests) a folder of our own, but
+    only if driver and executors are one process; else an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found and spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         found = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     if not found:
-        found = tempfile.mkdtemp(prefix="tesselorn-")
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir is not set: executors would share no folder")
+        found = f"/tmp/tesselorn-{spark.sparkContext.applicationId}"
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
 
-def written(df: DataFrame, codec: str = "zstd") -> DataFrame:
-    """``df`` as a table in the shared folder: cuts the lineage, survives lost
-    executors, is computed once. Removed when the process ends, or by ``drop``."""
+def written(df: DataFrame, codec: str = "zstd", by: str | None = None) -> DataFrame:
+    """``df`` as a table in the shared folder, in folders by the values of ``by``:
+    cuts the lineage, survives lost executors, is computed once. Removed when the
+    process ends, or by ``drop``."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tesselorn-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
+    write = df.write.option("compression", codec)
+    (write.partitionBy(by) if by else write).parquet(path)
     _made.append((spark, path))
     out = spark.read.schema(df.schema).parquet(path)
     out._tesselorn_path = path

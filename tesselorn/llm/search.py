@@ -1,17 +1,25 @@
-"""Exact top-k search: BM25 over an inverted index with block-max MaxScore.
+"""Exact top-k search: BM25 over an inverted index with block-max WAND.
 
 Documents are indexed in shards of consecutive rows, stored in the shared
-folder. Document frequencies are summed over all shards (``counts``), so scores
-use global statistics and the shards' top k merge exactly.
-
-In a shard, postings are sorted by document and cut into blocks; each term has
-a greatest impact, and one for each of its blocks. The threshold is the k-th
-score of the documents of a few seed terms, set once and not raised: terms are taken by ascending greatest impact as long as their sum
-stays below it (a document with only such terms cannot enter); the documents
-of the other terms are candidates; a block of documents whose summed block
-maxima stay below is skipped whole; the rest are scored on the essential terms,
-dropped if the others' maxima cannot lift them, and else scored exactly. No
-document that could enter is skipped; ties go to the smaller id.
+folder with the global document frequency of each of their terms (``counts``),
+so scores use global statistics and the shards' top k merge exactly.
+
+In a shard, postings are sorted by document and cut into blocks of documents;
+each term has a greatest impact, and one for each of its blocks. A query with a
+threshold (its k-th score so far) skips the shard if its terms' greatest impacts
+cannot reach it, and each block whose summed block maxima cannot. In a block,
+terms are taken by ascending impact; the pivot is where their summed maxima
+reach the threshold, so it moves from block to block: documents with terms
+before it alone cannot enter, and only postings from the pivot on are opened.
+The best documents found are scored at once, which raises the threshold;
+then the pivot moves down, in blocks that still have candidates, until the few
+documents left are scored exactly. All of that is done on arrays of a query's
+blocks at a time. Ties go to the smaller id.
+
+Shards are searched in rounds of growing size. The k-th scores of all rounds so
+far go to the next one as thresholds, and from shard to shard within a task, so
+that the rows that a round gives back are about as many as queries, times k.
+Queries come in groups of a bounded size, which is what is broadcast.
 """
 
 from __future__ import annotations
@@ -25,22 +33,33 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tesselorn.llm import counts
-from tesselorn.llm.common import batch, hashed, joined, pack, pack_sorted, parted, unpack, unpack_sorted, words_of, written
+from tesselorn.llm.common import batch, drop, hashed, pack, pack_sorted, unpack, unpack_sorted, words_of, written
 
 K1, B = 1.2, 0.75
-SHARD_DOCS = 8192
-SHARD_TOKENS = 2_500_000
-BLOCK_BITS = 6
+#: Size of a shard: whichever comes first.
+SHARD_DOCS = 1 << 14
+SHARD_TOKENS = 3_000_000
+BLOCK_BITS = 8
+#: Queries in a row of the stored queries.
 QUERY_BLOCK = 256
-#: Query blocks that a task gets at once.
-GROUP_BLOCKS = 64
+#: Terms and queries in a group, about: 16 MB of terms are broadcast.
+GROUP_TERMS, GROUP_QUERIES = 2_000_000, 1 << 16
+#: A round has so many times the shards of all before.
+GROWTH = 4
+#: How often the pivot moves down by half before all that is left is opened.
+MOVES = 4
+#: Candidates are scored at once if they are no more than this times k.
+FEW = 3
 #: Scores are compared at so many decimals, so that equal texts tie.
 DECIMALS = 9
+SLACK = 1e-6
 #: Stands for a null id: behind all others.
 LAST = (1 << 63) - 1
 
-SHARD = pa.schema([("block", pa.string()), ("ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("terms", pa.binary()), ("starts", pa.binary()), ("docs", pa.binary()), ("tfs", pa.binary()), ("n", pa.int64()), ("tokens", pa.int64())])
-SHARD_DDL = "block string, ids array<long>, sizes binary, terms binary, starts binary, docs binary, tfs binary, n long, tokens long"
+SHARD = pa.schema([("block", pa.string()), ("ids", pa.binary()), ("sizes", pa.binary()), ("terms", pa.binary()), ("starts", pa.binary()), ("docs", pa.binary()), ("tfs", pa.binary()), ("n", pa.int64()), ("tokens", pa.int64())])
+SHARD_DDL = "block string, ids binary, sizes binary, terms binary, starts binary, docs binary, tfs binary, n long, tokens long"
+FOUND = pa.schema([("number", pa.int64()), ("query_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.float64())])
+FOUND_DDL = "number long, query_id long, doc_id long, score double"
 
 
 def index(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -51,20 +70,18 @@ def index(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
         def shard() -> pa.RecordBatch:
             nonlocal kept, n, size
-            sizes = np.concatenate([s for _, s, _ in kept]).astype(np.int64)
-            tokens = np.concatenate([t for *_, t in kept])
+            ids, sizes, tokens = (np.concatenate(x) for x in zip(*kept))
+            kept, n, size = [], 0, 0
             terms, which = np.unique(tokens, return_inverse=True)
             pairs, tfs = np.unique(which * len(sizes) + np.repeat(np.arange(len(sizes)), sizes), return_counts=True)
-            df = np.bincount(pairs // max(len(sizes), 1), minlength=len(terms))
-            out = batch(SHARD, block=[uuid.uuid4().hex], ids=[np.concatenate([ids for ids, *_ in kept])], sizes=[pack(sizes)], terms=[pack_sorted(terms)], starts=[pack(df)], docs=[pack(pairs % max(len(sizes), 1))], tfs=[pack(tfs)], n=[len(sizes)], tokens=[int(sizes.sum())])
-            kept, n, size = [], 0, 0
-            return out
+            df = np.bincount(pairs // len(sizes), minlength=len(terms))
+            return batch(SHARD, block=[uuid.uuid4().hex], ids=[pack(ids.view(np.uint64))], sizes=[pack(sizes)], terms=[pack_sorted(terms)], starts=[pack(df)], docs=[pack(pairs % len(sizes))], tfs=[pack(tfs)], n=[len(sizes)], tokens=[int(sizes.sum())])
 
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
                 words, sizes = words_of(part.column(1))
-                kept.append((part.column(0).fill_null(LAST).to_numpy(), sizes, hashed(words)))
+                kept.append((part.column(0).fill_null(LAST).to_numpy(), sizes.astype(np.int64), hashed(words)))
                 n, size = n + part.num_rows, size + int(sizes.sum())
                 if n >= SHARD_DOCS or size >= SHARD_TOKENS:
                     yield shard()
@@ -75,8 +92,9 @@ def index(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def query_blocks(queries: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(number, data): blocks of queries, each with its distinct terms."""
-    schema = pa.schema([("data", pa.binary())])
+    """(number, queries, size, ids, sizes, terms): rows of queries, each with its
+    distinct terms; size: terms in all."""
+    schema = pa.schema([("queries", pa.int64()), ("size", pa.int64()), ("ids", pa.binary()), ("sizes", pa.binary()), ("terms", pa.binary())])
 
     def fold(batches):
         for b in batches:
@@ -85,137 +103,247 @@ def query_blocks(queries: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 words, sizes = words_of(part.column(1))
                 h, ends = hashed(words), np.cumsum(sizes)
                 terms = [np.unique(h[e - s : e]) for e, s in zip(ends, sizes)]
+                size = np.array([len(t) for t in terms], np.uint64)
                 ids = np.array(part.column(0).to_pylist(), np.int64)
-                yield batch(schema, data=[joined([pack(ids.view(np.uint64)), pack(np.array([len(t) for t in terms], np.uint64)), pack(np.concatenate([np.zeros(0, np.uint64), *terms]))])])
+                yield batch(schema, queries=[len(ids)], size=[int(size.sum())], ids=[pack(ids.view(np.uint64))], sizes=[pack(size)], terms=[pack(np.concatenate([np.zeros(0, np.uint64), *terms]))])
 
     plain = queries.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")).where(F.col(f"`{id_col}`").isNotNull())
-    return plain.mapInArrow(fold, "data binary").withColumn("number", F.monotonically_increasing_id())
+    return plain.mapInArrow(fold, "queries long, size long, ids binary, sizes binary, terms binary").withColumn("number", F.monotonically_increasing_id())
+
+
+def runs(starts: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """All places from starts[i] up to starts[i + 1], for each i of ``which``."""
+    lo = starts[which]
+    n = starts[which + 1] - lo
+    upto = np.cumsum(n)
+    return np.repeat(lo - upto + n, n) + np.arange(upto[-1] if len(n) else 0)
 
 
 class Shard:
-    """One shard's postings with impacts, and the search in it."""
+    """One shard's postings with impacts, and the search in it. ``opened``
+    counts the postings that searches looked at, ``all`` those of their terms."""
 
-    def __init__(self, row, df: np.ndarray, documents: int, mean: float):
-        self.ids = np.asarray(row["ids"], np.int64)
+    def __init__(self, row, df: np.ndarray, documents: int, mean: float, bits: int):
+        self.bits, self.opened, self.all = bits, 0, 0
+        self.ids = unpack(row["ids"]).view(np.int64)
         self.terms = unpack_sorted(row["terms"])
         sizes = unpack(row["sizes"]).astype(np.float64)
         own = unpack(row["starts"]).astype(np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(own)])
-        self.docs = unpack(row["docs"]).astype(np.int32)
+        self.docs = unpack(row["docs"]).view(np.int64)
         tf = unpack(row["tfs"]).astype(np.float64)
         idf = np.log(1 + (documents - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * sizes / max(mean, 1e-9))
-        term = np.repeat(np.arange(len(own)), own)
+        term = np.repeat(np.arange(len(own), dtype=np.int32), own)
         self.impact = idf[term] * tf * (K1 + 1) / (tf + norm[self.docs])
-        blocks = self.docs >> BLOCK_BITS
-        first = np.flatnonzero(np.concatenate([[True], (np.diff(term) != 0) | (np.diff(blocks) != 0)])) if len(term) else np.zeros(0, np.int64)
-        self.block, self.block_max = blocks[first], np.maximum.reduceat(self.impact, first) if len(first) else np.zeros(0)
-        self.block_starts = np.searchsorted(term[first], np.arange(len(own) + 1))
-        self.most = np.maximum.reduceat(self.impact, self.starts[:-1]) if len(own) else np.zeros(0)
-
-    def _runs(self, starts: np.ndarray, which: np.ndarray) -> np.ndarray:
-        """Positions of all entries of some terms."""
-        lo, n = starts[which], starts[which + 1] - starts[which]
-        return np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(which) else np.zeros(0, np.int64)
-
-    def _exact(self, which: np.ndarray, docs: np.ndarray) -> np.ndarray:
-        """Scores of some documents over all of a query's terms."""
-        mark = np.full(len(self.ids), -1, np.int64)
-        mark[docs] = np.arange(len(docs))
-        at = self._runs(self.starts, which)
-        to = mark[self.docs[at]]
-        return np.round(np.bincount(to[to >= 0], self.impact[at][to >= 0], len(docs)), DECIMALS)
-
-    def top(self, terms: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the best k that have any of the terms."""
-        at = np.searchsorted(self.terms, terms)
-        at = at[at < len(self.terms)] if len(self.terms) else np.zeros(0, np.int64)
-        which = np.intersect1d(at, np.searchsorted(self.terms, np.intersect1d(terms, self.terms[at]))) if len(at) else at
-        if not len(which):
+        block = (self.docs >> bits).astype(np.int32)
+        first = np.flatnonzero(np.concatenate([[True], (np.diff(term) != 0) | (np.diff(block) != 0)])) if len(term) else np.zeros(0, np.int64)
+        # an entry: the postings of a term in a block
+        self.entry_start = np.append(first, len(term))
+        self.entry_block, self.entry_max = block[first], np.maximum.reduceat(self.impact, first) if len(first) else np.zeros(0)
+        self.entry_of = np.searchsorted(term[first], np.arange(len(own) + 1))
+        self.most = np.maximum.reduceat(self.entry_max, self.entry_of[:-1]) if len(own) else np.zeros(0)
+        # the same postings by document
+        order = np.argsort(self.docs.astype(np.uint16) if len(self.ids) <= 1 << 16 else self.docs, kind="stable")
+        self.own_term, self.own_impact = term[order], self.impact[order]
+        self.own_start = np.concatenate([[0], np.cumsum(np.bincount(self.docs, minlength=len(self.ids)))])
+        self.asked = np.zeros(len(own), bool)
+
+    def places(self, terms: np.ndarray) -> np.ndarray:
+        """Number of each term here, -1 for those that are not."""
+        if not len(self.terms):
+            return np.full(len(terms), -1)
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        return np.where(self.terms[at] == terms, at, -1)
+
+    def _exact(self, docs: np.ndarray) -> np.ndarray:
+        """Scores of some documents over the terms that are asked."""
+        at = runs(self.own_start, docs)
+        hit = self.asked[self.own_term[at]]
+        of = np.repeat(np.arange(len(docs)), self.own_start[docs + 1] - self.own_start[docs])
+        return np.round(np.bincount(of[hit], self.own_impact[at[hit]], len(docs)), DECIMALS)
+
+    def top(self, which: np.ndarray, k: int, low: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the best k documents that have any of the terms
+        (numbers) and a score of at least ``low``."""
+        most = self.most[which]
+        if not len(which) or most.sum() < low - SLACK:
             return np.zeros(0, np.int64), np.zeros(0)
-        which = which[np.argsort(self.most[which], kind="stable")]  # ascending greatest impact
-        size = self.starts[which + 1] - self.starts[which]
-        # a first threshold: documents of the terms of most impact, scored exactly
-        upto = np.cumsum(size[::-1])
-        seeds = which[::-1][: int(np.searchsorted(upto, 8 * k)) + 1]
-        docs = np.unique(self.docs[self._runs(self.starts, seeds)])
-        score = self._exact(which, docs)
-        low = np.partition(score, -k)[-k] if len(docs) >= k else 0.0
-        slack = 1e-6
-        # pivot: the terms before it cannot lift a document to the threshold by themselves
-        bound = np.cumsum(self.most[which])
-        pivot = int(np.searchsorted(bound, low - slack, side="left")) if low > slack else 0
-        essential, rest = which[pivot:], which[:pivot]
-        at = self._runs(self.block_starts, which)
-        blocks = np.bincount(self.block[at], self.block_max[at], (len(self.ids) >> BLOCK_BITS) + 1)
-        alive = blocks >= low - slack  # by block maxima over all terms
-        at = self._runs(self.starts, essential)
-        at = at[alive[self.docs[at] >> BLOCK_BITS]]
-        partial = np.bincount(self.docs[at], self.impact[at], len(self.ids))
-        seen = np.zeros(len(self.ids), bool)
-        seen[self.docs[at]] = True
-        others = np.zeros(len(blocks))
-        if len(rest):
-            at = self._runs(self.block_starts, rest)
-            others = np.bincount(self.block[at], self.block_max[at], len(blocks))
-        docs2 = np.flatnonzero(seen)
-        docs2 = docs2[partial[docs2] + others[docs2 >> BLOCK_BITS] >= low - slack]
-        docs = np.union1d(docs, docs2)
-        score = self._exact(which, docs)
+        self.asked[which] = True
+        docs, score = self._best(which[np.argsort(most)], k, low)
+        self.asked[which] = False
         best = np.lexsort((self.ids[docs], -score))[:k]
         return self.ids[docs[best]], score[best]
 
+    def _best(self, which: np.ndarray, k: int, low: float) -> tuple[np.ndarray, np.ndarray]:
+        entries = runs(self.entry_of, which)  # terms of least impact first
+        order = np.argsort(self.entry_block[entries].astype(np.uint16), kind="stable")
+        entries = entries[order]
+        block = self.entry_block[entries]
+        first = np.flatnonzero(np.concatenate([[True], np.diff(block) != 0]))
+        here, held = block[first], np.diff(np.append(first, len(block)))
+        most = self.entry_max[entries]
+        upto = np.cumsum(most)
+        # summed maxima of a block's terms up to and with this one
+        reach = upto - np.repeat(upto[first] - most[first], held)
+        size = self.entry_start[entries + 1] - self.entry_start[entries]
+        self.all += int(size.sum())
+        rest = np.zeros((len(self.ids) >> self.bits) + 1)
+        level = low - SLACK if low > SLACK else -1.0
+        closed = np.repeat(reach[first + held - 1] >= level, held)  # entries of live blocks, not opened
+        partial = np.zeros(len(self.ids))
+        for move in range(MOVES + 1):
+            now = np.flatnonzero(closed & (reach >= level))
+            closed[now] = False
+            at = runs(self.entry_start, entries[now])
+            self.opened += len(at)
+            partial += np.bincount(self.docs[at], self.impact[at], len(partial))
+            left = np.add.reduceat(closed, first, dtype=np.int64)
+            rest[here] = np.where(left > 0, reach[first + np.maximum(left, 1) - 1], 0.0)
+            if move == 0:
+                docs = np.flatnonzero(partial)
+                if len(docs) > FEW * k:
+                    seeds = docs[np.argpartition(partial[docs], -k)[-k:]]
+                    low = max(low, float(self._exact(seeds).min()))
+            docs = docs[partial[docs] + rest[docs >> self.bits] >= low - SLACK]
+            if len(docs) <= FEW * k or level <= 0:
+                break
+            level = level / 2 if move < MOVES - 1 else -1.0
+            live = np.zeros(len(rest), bool)
+            live[docs >> self.bits] = True
+            closed &= live[block]
+        score = self._exact(docs)
+        return docs[score >= low], score[score >= low]
 
-def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(query_id, rank, doc_id, score): the k documents of highest BM25 score for
-    each query, ranks from 1, ties by smaller doc_id.
 
-    Words are A-Z lower-cased runs of ``[^\\x20\\x09-\\x0D]``; each distinct word
-    of a query counts once. Whole texts of all documents are indexed; a document
-    without any of a query's words is no result, so empty queries have none.
-    Null texts are empty; queries with a null id are left out; documents with one
-    are indexed and come with a null doc_id. Repeated rows are documents of their
-    own. An empty table gives an empty result.
-    """
+class Group:
+    """Some queries: ids, terms, and the score that each has to reach."""
+
+    def __init__(self, rows):
+        self.numbers = np.concatenate([np.arange(r["queries"], dtype=np.int64) + (r["number"] << 8) for r in rows])
+        self.ids = np.concatenate([unpack(r["ids"]).view(np.int64) for r in rows])
+        sizes = np.concatenate([unpack(r["sizes"]).astype(np.int64) for r in rows])
+        self.ends = np.concatenate([[0], np.cumsum(sizes)])
+        self.terms, self.which = np.unique(np.concatenate([unpack(r["terms"]) for r in rows]), return_inverse=True)
+        self.low = np.zeros(len(self.ids))
+
+
+def _searched(shards: DataFrame, group, k: int, n: int, mean: float) -> DataFrame:
+    """(number, query_id, doc_id, score): for each task its best k for each query
+    of ``group`` (broadcast) that reach the query's threshold."""
+
+    def fold(batches):
+        g: Group = group.value
+        low, best = g.low.copy(), {}
+        for b in batches:
+            for row in range(b.num_rows):
+                found = {c: b.column(c)[row].as_py() for c in ("ids", "sizes", "terms", "starts", "docs", "tfs", "df")}
+                shard = Shard(found, unpack(found["df"]).astype(np.float64), n, mean, BLOCK_BITS)
+                place = shard.places(g.terms)[g.which]
+                for q in range(len(g.ids)):
+                    own = place[g.ends[q] : g.ends[q + 1]]
+                    ids, score = shard.top(own[own >= 0], k, low[q])
+                    if not len(ids):
+                        continue
+                    if q in best:
+                        ids, score = np.concatenate([best[q][0], ids]), np.concatenate([best[q][1], score])
+                        order = np.lexsort((ids, -score))[:k]
+                        ids, score = ids[order], score[order]
+                    best[q] = ids, score
+                    if len(ids) == k:
+                        low[q] = max(low[q], score[-1])
+        for at in range(0, len(best), 4096):
+            qs = list(best)[at : at + 4096]
+            of = np.repeat(qs, [len(best[q][0]) for q in qs])
+            yield batch(FOUND, number=g.numbers[of], query_id=g.ids[of], doc_id=np.concatenate([best[q][0] for q in qs]), score=np.concatenate([best[q][1] for q in qs]))
+
+    return shards.mapInArrow(fold, FOUND_DDL)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("number").orderBy(F.desc("score"), "doc_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def _rounds(shards: int, parallel: int) -> list[float]:
+    """Shares of the shards that all rounds up to each have."""
+    out, share = [], parallel / max(shards, 1)
+    while share < 0.5:
+        out.append(share)
+        share *= GROWTH
+    return [*out, 1.0]
+
+
+def _stored(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, list[float], int, float]:
+    """The index with global document frequencies, by rounds; their shares; the
+    number of documents and their mean size."""
     spark = docs.sparkSession
     shards = written(index(docs, id_col, text_col))
-    size = shards.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).first()
+    size = shards.agg(F.count("*").alias("shards"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).first()
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size["tokens"] // counts.RANGE_KEYS))
 
     def ask(batches):
         for b in batches:
             for block, terms, df in zip(b["block"], b["terms"], b["starts"]):
-                yield pd.DataFrame(counts.requests(block, unpack_sorted(terms), [unpack(df)], parts))
+                yield pd.DataFrame(counts.requests(block, unpack_sorted(terms), [unpack(df)], parts), columns=[x.split()[0] for x in counts.REQUEST.split(", ")])
 
     asked = shards.select("block", "terms", "starts").mapInPandas(ask, counts.REQUEST)
-    replies = written(counts.replies(asked, parts)).where("block <> ''").select("block", "part", F.col("counts").alias("data"))
+    replies = counts.replies(asked, parts).where("block <> ''").select("block", "part", "counts")
+    rounds = _rounds(size["shards"], spark.sparkContext.defaultParallelism)
+    names = [x.split()[0] for x in SHARD_DDL.split(", ")]
+
+    def fold(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return left.assign(df=[pack(counts.answers(right, 0).view(np.uint64))] * len(left))
+
+    # of each shard by a hash of its name: which round searches it
+    at = F.pmod(F.xxhash64("block"), F.lit(1 << 20)) / (1 << 20)
+    nth = sum((F.when(at >= x, 1).otherwise(0) for x in rounds[:-1]), F.lit(0))
+    whole = shards.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(fold, f"{SHARD_DDL}, df binary")
+    stored = written(whole.select(*names, "df", nth.cast("int").alias("round")), by="round")
+    drop(shards)
+    return stored, rounds, size["n"], size["tokens"] / max(size["n"], 1)
+
+
+def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(query_id, rank, doc_id, score): the k documents of highest BM25 score for
+    each query, ranks from 1, ties by smaller doc_id.
+
+    Words are A-Z lower-cased runs of ``[^\\x20\\x09-\\x0D]``; each distinct word
+    of a query counts once. Whole texts of all documents are indexed; a document
+    without any of a query's words is no result, so empty queries have none.
+    Null texts are empty; queries with a null id are left out; documents with one
+    are indexed and come with a null doc_id. Repeated rows are documents, and
+    queries, of their own. Other columns are not looked at. An empty table gives
+    an empty result.
+    """
+    spark = docs.sparkSession
     blocks = written(query_blocks(queries, id_col, text_col))
-    groups = -(-blocks.count() // GROUP_BLOCKS) or 1
-    spread = F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("queries")
-    # the query set against all shards, in blocks of queries: a row a block and shard
-    numbered = blocks.withColumn("queries", F.pmod(F.xxhash64("number"), F.lit(groups)).cast("int"))
-    asked_of = shards.select("block").crossJoin(F.broadcast(numbered) if groups == 1 else numbered).select("block", "queries", F.lit(-1).alias("part"), "data")
-    right = replies.select("block", spread, "part", "data").unionByName(asked_of)
-    n, mean = size["n"], size["tokens"] / max(size["n"], 1)
-
-    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = {"query_id": [], "doc_id": [], "score": []}
-        if not left.empty:
-            known = right[right["part"] >= 0].rename(columns={"data": "counts"})
-            df = counts.answers(known, 0)
-            shard = Shard(left.iloc[0], df, n, mean)
-            for data in right.loc[right["part"] < 0, "data"]:
-                ids, sizes, terms = map(unpack, parted(data))
-                ends = np.cumsum(sizes.astype(np.int64))
-                for qid, end, own in zip(ids.view(np.int64), ends, sizes.astype(np.int64)):
-                    found, score = shard.top(terms[end - own : end], k)
-                    out["query_id"].append(np.full(len(found), qid))
-                    out["doc_id"].append(found)
-                    out["score"].append(score)
-        return pd.DataFrame({c: np.concatenate(v) if v else [] for c, v in out.items()})
-
-    left = shards.select("*", spread)
-    found = left.groupBy("block", "queries").cogroup(right.groupBy("block", "queries")).applyInPandas(best, "query_id long, doc_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", F.when(F.col("doc_id") < LAST, F.col("doc_id")).alias("doc_id"), "score")
+    # One row of three numbers for so many as QUERY_BLOCK queries.
+    sizes = blocks.select("number", "queries", "size").orderBy("number").collect()
+    groups, terms, asked = [], 0, 0
+    for r in sizes:
+        if not groups or terms + r["size"] > GROUP_TERMS or asked + r["queries"] > GROUP_QUERIES:
+            groups.append([r["number"], r["number"]])
+            terms = asked = 0
+        groups[-1][1] = r["number"]
+        terms, asked = terms + r["size"], asked + r["queries"]
+    stored, rounds, n, mean = _stored(docs, id_col, text_col)
+    done = []
+    for first, last in groups:
+        group, best = Group(blocks.where(F.col("number").between(first, last)).orderBy("number").collect()), None
+        for nth in range(len(rounds)):
+            shared = spark.sparkContext.broadcast(group)  # at most GROUP_TERMS, or one block of queries
+            found = _searched(stored.where(F.col("round") == nth).drop("round"), shared, k, n, mean)
+            now = written(_ranked(found if best is None else best.select(found.columns).unionByName(found), k))
+            shared.unpersist()
+            if best is not None:
+                drop(best)
+            best = now
+            if nth + 1 < len(rounds):  # a number for each query of the group
+                at = best.where(F.col("rank") == k).select("number", "score").toPandas()
+                group.low[np.searchsorted(group.numbers, at["number"])] = at["score"]
+        done.append(best)
+    if not done:
+        return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
+    drop(stored, blocks)
+    every = spark.read.schema(done[0].schema).parquet(*[t._tesselorn_path for t in done])
+    return every.select("query_id", "rank", F.when(F.col("doc_id") < LAST, F.col("doc_id")).alias("doc_id"), "score")

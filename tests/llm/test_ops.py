@@ -321,10 +321,15 @@ def bm25(rows, queries, k):
     return out
 
 
-@pytest.mark.parametrize("shard", [8, 8192])
-def test_search(docs, docs_of, monkeypatch, shard):
+@pytest.mark.parametrize(("shard", "bits", "queries_a_group"), [(4, 1, 5), (8, 2, 1000), (8192, 3, 7)])
+def test_search(docs, docs_of, monkeypatch, shard, bits, queries_a_group):
+    """Many shards and rounds, blocks of few documents, many groups of queries;
+    with ties, repeated rows, near copies, empty and long texts."""
     monkeypatch.setattr(search, "SHARD_DOCS", shard)
+    monkeypatch.setattr(search, "BLOCK_BITS", bits)
+    monkeypatch.setattr(search, "GROUP_QUERIES", queries_a_group)
     monkeypatch.setattr(search, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(search, "_rounds", lambda *_: [0.1, 0.4, 1.0])
     rows = corpus()
     queries = [(i, t) for i, t in rows if i is not None and i % 5 == 0][:-1] + [(1000, "the zzz"), (1001, "zzz")]
     got = {}
@@ -332,6 +337,38 @@ def test_search(docs, docs_of, monkeypatch, shard):
         got.setdefault(r.query_id, []).append((-round(r.score, 6), r.doc_id if r.doc_id is not None else math.inf))
     assert got == {q: s for q, s in bm25(rows, queries, 7).items() if s}
     assert search.search(docs.limit(0), docs).count() == 0
+    assert search.search(docs, docs.limit(0)).count() == 0
+
+
+def shard_of(texts, bits):
+    bags = [Counter(words(t)) for t in texts]
+    vocabulary = {w: xxhash.xxh64_intdigest(w) for b in bags for w in b}
+    terms = sorted(vocabulary, key=vocabulary.get)
+    posts = [(n, d, b[w]) for n, w in enumerate(terms) for d, b in enumerate(bags) if w in b]
+    df = np.array([sum(w in b for b in bags) for w in terms], np.int64)
+    sizes = np.array([sum(b.values()) for b in bags])
+    u = lambda x: common.pack(np.array(x, np.uint64))
+    row = {"ids": u(range(len(texts))), "sizes": u(sizes), "terms": common.pack_sorted(np.array([vocabulary[w] for w in terms], np.uint64)), "starts": u(df), "docs": u([d for _, d, _ in posts]), "tfs": u([f for *_, f in posts])}
+    return search.Shard(row, df.astype(float), len(texts), float(sizes.mean()), bits), vocabulary
+
+
+def test_pruning_skips_shards_blocks_and_postings():
+    rng = random.Random(5)
+    topics = [[f"t{j}w{i}" for i in range(300)] for j in range(8)]
+    texts = [" ".join(rng.choices(topics[d // 64], k=40) + rng.choices(["the", "of", "and"], k=20)) for d in range(512)]
+    shard, vocabulary = shard_of(texts, 5)
+    for query in texts[::37]:
+        which = shard.places(np.unique(np.array([vocabulary[w] for w in set(words(query))], np.uint64)))
+        shard.opened = shard.all = 0
+        ids, score = shard.top(which, 10)  # no threshold yet: everything is opened
+        assert shard.opened == shard.all
+        shard.opened = shard.all = 0
+        again, same = shard.top(which, 10, float(score[-1]))
+        assert again.tolist() == ids.tolist() and same.tolist() == score.tolist()
+        assert shard.opened < 0.8 * shard.all  # blocks of other topics stay closed
+        shard.opened = shard.all = 0
+        none, _ = shard.top(which, 10, 1e6)
+        assert not len(none) and shard.opened == shard.all == 0  # the whole shard is skipped
 
 
 # op8, op9
