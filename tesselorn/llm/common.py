@@ -65,6 +65,30 @@ def _remove_all() -> None:
             return
 
 
+#: Rows of a key from which on a join deals them to several tasks.
+HOT_ROWS = 1_000_000
+#: Tasks that a hot key's rows are dealt to.
+SALTS = 64
+
+
+def join_hot(many: DataFrame, one: DataFrame, key: str, hot: list, how: str = "inner") -> DataFrame:
+    """``many`` joined by ``key`` with ``one``, which has a row for each key. Rows of
+    the keys in ``hot`` are dealt to ``SALTS`` tasks each, whose row of ``one``
+    is repeated; so no task gets a hot key whole. A row's task follows from its columns, so that a
+    repeated task deals it out alike. There are at most as many hot
+    keys as rows over ``HOT_ROWS``."""
+    if not hot:
+        return many.join(one, key, how)
+    session = many.sparkSession
+    kind = one.schema[key].dataType.simpleString()
+    keys = F.broadcast(session.createDataFrame([(h,) for h in hot], f"`{key}` {kind}").withColumn("_hot", F.lit(True)))
+    salt = lambda column: F.when(F.col("_hot"), column).otherwise(F.lit(0))
+    left = many.join(keys, key, "left").withColumn("_salt", salt(F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in many.columns]), F.lit(SALTS)).cast("int"))).drop("_hot")
+    copies = F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+    right = one.join(keys, key, "left").withColumn("_salt", copies).drop("_hot")
+    return left.join(right, [key, "_salt"], how).drop("_salt")
+
+
 def remainder(doc_id: Column, of: int = 5) -> Column:
     """crc32 of the id as text, modulo ``of``; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % of

@@ -22,12 +22,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesselorn.llm.common import as_bytes, batch, components, drop, written
+from tesselorn.llm import common
+from tesselorn.llm.common import as_bytes, batch, components, drop, join_hot, written
 
 SEED = 42
 SHINGLE = 3
 RADIUS = 2
-RANGE_CODES = 1 << 16
+RANGE_CODES, LEAST_CODES = 1 << 16, 1 << 13
 FAN = 16
 #: Pairs of query and node that a search holds at once, about.
 FRONTIER = 1_000_000
@@ -128,7 +129,9 @@ def _links(codes: DataFrame, radius: int) -> DataFrame | None:
     """(a, b): links between distinct codes that connect all that are within
     the radius. ``codes``: a written table with a row for each distinct code."""
     ranked = codes.select("code", _rank(F.col("code")).alias("rank"))
-    ranges = -(-codes.count() // RANGE_CODES)
+    n, parallel = codes.count(), codes.sparkSession.sparkContext.defaultParallelism
+    # more and smaller ranges only as far as tasks would else be idle: a code goes to more of them
+    ranges = max(-(-n // RANGE_CODES), min(2 * parallel, -(-n // LEAST_CODES)))
     cuts = np.zeros(0, np.int64)
     if ranges > 1:
         shares = [i / ranges for i in range(1, ranges)]
@@ -176,16 +179,18 @@ def _links(codes: DataFrame, radius: int) -> DataFrame | None:
 
 def connected(links: DataFrame) -> DataFrame:
     """(node, root): for each node of the links (a, b) the smallest node that
-    it reaches. Alternates large-star and small-star until nothing changes."""
+    it reaches. Alternates large-star and small-star until nothing changes. A
+    node with many links, a hub, is dealt to several tasks."""
 
-    def star(edges: DataFrame, large: bool) -> DataFrame:
+    def star(edges: DataFrame, large: bool, n: int) -> DataFrame:
         # each node with its neighbours: both ways (large), or the smaller ones
         if large:
             near = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         else:
             near = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = near.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
-        out = near.join(least, "a")
+        least = near.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"), F.count("*").alias("_n"))
+        hubs = [r["a"] for r in least.where(F.col("_n") > common.HOT_ROWS).select("a").collect()] if n > common.HOT_ROWS else []
+        out = join_hot(near, least.drop("_n"), "a", hubs)
         if large:
             return out.where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
         return out.select(F.col("b").alias("x"), "least", "a").select(F.explode(F.array("x", "a")).alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
@@ -194,7 +199,7 @@ def connected(links: DataFrame) -> DataFrame:
     edges = written(links.where("a <> b").distinct())
     before = mark(edges)
     while before[0]:
-        after = written(star(star(edges, True), False))
+        after = written(star(star(edges, True, before[0]), False, before[0]))
         drop(edges)
         edges, now = after, mark(after)
         if now == before:
@@ -210,13 +215,14 @@ def near_duplicates(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     are never the smallest; a component of null ids alone has a null id.
     An empty table gives an empty result."""
     prints = written(prints)
-    codes = written(prints.groupBy("code").agg(F.min("doc_id").alias("least")))
+    codes = written(prints.groupBy("code").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     roots = connected(_links(codes, radius))
-    joined = codes.join(roots, codes["code"] == roots["node"], "left").select("code", "least", F.coalesce("root", "code").alias("root"))
-    groups = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    # only codes that are linked need the join by root
-    labels = written(joined.join(groups, "root").select("code", "component_id"))
-    return prints.join(labels, "code").select("doc_id", "text_hash", "code", "component_id")
+    rooted = written(codes.join(roots, codes["code"] == roots["node"], "left").select("code", "least", "n", F.coalesce("root", "code").alias("root")))
+    groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
+    over = lambda df, key: [r[key] for r in df.where(F.col("n") > common.HOT_ROWS).select(key).collect()]
+    labels = written(join_hot(rooted.drop("n"), groups.drop("n"), "root", over(groups, "root")).select("code", "component_id"))
+    drop(rooted)
+    return join_hot(prints, labels, "code", over(codes, "code")).select("doc_id", "text_hash", "code", "component_id")
 
 
 def as_hex(code: Column) -> Column:

@@ -482,6 +482,32 @@ def test_gray_index_finds_all():
     assert found == want
 
 
+def test_hot_codes_and_hubs(spark, docs_of, monkeypatch):
+    """Groups of copies and near copies, with every join split for hot keys."""
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    monkeypatch.setattr(common, "SALTS", 4)
+    monkeypatch.setattr(simhash, "RANGE_CODES", 40)
+    rng = random.Random(8)
+    base = [rng.choice("abcdefgh") * 2 + str(rng.randrange(99)) for _ in range(300)]
+    rows = [(i, " ".join(base)) for i in range(120)]
+    for i in range(120, 320):
+        text = list(base)
+        text[rng.randrange(300)] = f"x{i}"
+        rows.append((i, " ".join(text)))
+    rows += [(i, " ".join(rng.choices(base, k=30))) for i in range(320, 360)]
+    spark.conf.set("spark.sql.shuffle.partitions", "31")
+    try:
+        got = {r.doc_id: r.component_id for r in simhash.near_duplicates(simhash.fingerprints(docs_of(rows)).repartition(7)).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    codes = [simhash.simhash((t or "").encode()) for _, t in rows]
+    label = {i: i for i, _ in rows}
+    for _ in range(20):
+        for i, a in enumerate(codes):
+            label[i] = min(label[j] for j, b in enumerate(codes) if (a ^ b).bit_count() <= 2)
+    assert got == label and len(set(label[i] for i in range(120))) == 1
+
+
 def test_connected(spark):
     rng = random.Random(4)
     links = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 340)] + [(-5, 300)]
