@@ -31,7 +31,7 @@ RADIUS = 2
 RANGE_CODES, LEAST_CODES = 1 << 16, 1 << 13
 FAN = 16
 #: Pairs of query and node that a search holds at once, about.
-FRONTIER = 1_000_000
+FRONTIER = 1 << 18
 
 
 def simhash(data: bytes, shingle: int = SHINGLE) -> int:
@@ -62,8 +62,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def fold(batches):
         for b in batches:
-            codes = np.array([simhash(t) for t in as_bytes(b.column(2))], np.uint64)
-            yield batch(schema, doc_id=b.column(0), text_hash=b.column(1), code=codes.view(np.int64))
+            for at in range(0, b.num_rows, 500):  # few texts are held twice
+                part = b.slice(at, 500)
+                codes = np.array([simhash(t) for t in as_bytes(part.column(2))], np.uint64)
+                yield batch(schema, doc_id=part.column(0), text_hash=part.column(1), code=codes.view(np.int64))
 
     return docs.select(F.col(id_col).cast("long"), F.xxhash64(text_col), F.col(text_col)).mapInArrow(fold, "doc_id long, text_hash long, code long")
 
@@ -169,9 +171,12 @@ def _links(codes: DataFrame, radius: int) -> DataFrame | None:
         tied = label != np.arange(len(here))
         a, b = [here[tied]], [here[label[tied]]]
         for q, at in lower.search(guests, radius):
-            one = np.unique(np.stack([guests[q], here[label[at]]]), axis=1)
-            a.append(one[0])
-            b.append(one[1])
+            x, y = guests[q], here[label[at]]
+            order = np.lexsort((y, x))
+            x, y = x[order], y[order]
+            new = np.concatenate([[True], (np.diff(x) != 0) | (np.diff(y) != 0)])
+            a.append(x[new])
+            b.append(y[new])
         return pa.table([np.concatenate(a).view(np.int64), np.concatenate(b).view(np.int64)], schema=pair)
 
     return ranked.mapInArrow(route, "part int, code long, own boolean").groupBy("part").applyInArrow(meet, "a long, b long")
