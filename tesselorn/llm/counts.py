@@ -23,7 +23,7 @@ from tesselorn.llm.common import joined, pack, pack_sorted, parted, unpack, unpa
 REQUEST = "block string, part int, keys binary, counts binary"
 REPLY = "block string, part int, counts binary, sums array<long>, kinds array<long>"
 #: Keys that a range gets, about.
-RANGE_KEYS = 4_000_000
+RANGE_KEYS = 2_000_000
 
 
 def bounds(parts: int) -> np.ndarray:

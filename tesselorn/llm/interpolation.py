@@ -29,10 +29,12 @@ from tesselorn.llm.common import NO_ID, batch, crc, drop, hashed, mixed, pack, p
 END = np.uint64(0xE0D0E0D0E0D0E0D0)
 START = np.uint64(0x57A2757A2757A275)
 ORDER = 2
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 700_000
 #: One in so many training documents is held out of the counts, for the weights.
 HELD = 20
-ROUNDS = 25
+#: Rounds of expectation-maximisation go on until no weight moves by as much as
+#: ``MOVED``; not to get there in ``ROUNDS`` is an error.
+MOVED, ROUNDS = 1e-4, 1000
 
 BLOCK = pa.schema([("block", pa.string()), ("held", pa.bool_()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("vocabulary", pa.binary()), ("tokens", pa.binary())])
 BLOCK_DDL = "block string, held boolean, ids array<long>, sizes array<int>, vocabulary binary, tokens binary"
@@ -82,20 +84,45 @@ def blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")).mapInArrow(fold, BLOCK_DDL)
 
 
-def _grams(row, order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Keys of the 1- to order-grams that end at each token; the document number
-    and the place in the document of each token. Keys of 1-grams are odd."""
-    sizes = np.asarray(row["sizes"], np.int64)
-    tokens = unpack_sorted(row["vocabulary"])[unpack(row["tokens"]).astype(np.int64)]
-    doc = np.repeat(np.arange(len(sizes)), sizes)
-    place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    keys, back = [mixed(tokens) | np.uint64(1)], mixed(tokens)
-    for k in range(1, order):
-        before = np.where(place >= k, np.roll(tokens, k), START)
+def _order(row, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of a block's k-grams, ascending, and for each token the
+    number of the one that ends at it. Keys of 1-grams are odd, others even.
+    Only one order's keys are in memory at a time."""
+    vocabulary, tokens = unpack_sorted(row["vocabulary"]), unpack(row["tokens"]).view(np.int64)
+    if k == 1:  # the vocabulary is sorted and distinct already, but for the scrambling
+        keys = mixed(vocabulary) | np.uint64(1)
+        order = np.argsort(keys)
+        rank = np.empty(len(keys), np.int32)
+        rank[order] = np.arange(len(keys))
+        if (keys[order][1:] == keys[order][:-1]).any():  # two hashes that differ in the mark alone
+            keys, again = np.unique(keys, return_inverse=True)
+            return keys, again.astype(np.int32)[tokens]
+        return keys[order], rank[tokens]
+    place = _places(row)
+    scrambled = mixed(vocabulary)
+    back = scrambled[tokens]
+    for j in range(1, k):
+        before = np.where(place >= j, np.roll(vocabulary[tokens], j), START)
         with np.errstate(over="ignore"):
-            back = mixed(back ^ (before * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k)))
-        keys.append(back & ~np.uint64(1))
-    return keys, doc, place
+            back = mixed(back ^ (before * np.uint64(0x9E3779B97F4A7C15) + np.uint64(j)))
+    back &= ~np.uint64(1)
+    order = np.argsort(back)
+    back = back[order]
+    new = np.concatenate([[True], back[1:] != back[:-1]])[: len(back)]
+    which = np.empty(len(back), np.int32)
+    which[order] = np.cumsum(new, dtype=np.int32) - 1
+    return back[new], which
+
+
+def _documents(row) -> np.ndarray:
+    """Number of the document of each token."""
+    return np.repeat(np.arange(len(row["sizes"]), dtype=np.int32), row["sizes"])
+
+
+def _places(row) -> np.ndarray:
+    """Place in its document of each token."""
+    sizes = np.asarray(row["sizes"], np.int64)
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
 def _flags(row) -> tuple[np.ndarray, np.ndarray]:
@@ -103,26 +130,37 @@ def _flags(row) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _requests(table: DataFrame, order: int, parts: int) -> DataFrame:
+    """Requests of each block, an order at a time; ``block`` ends in the order."""
+
     def ask(batches):
         for b in batches:
             for _, row in b.iterrows():
-                keys, doc, _ = _grams(row, order)
                 train, held = _flags(row)
-                every, where = np.unique(np.concatenate(keys), return_inverse=True)
-                of = np.tile(doc, order)
-                yield pd.DataFrame(counts.requests(row["block"], every, [np.bincount(where, train[of], len(every)), np.bincount(where, (train & ~held)[of], len(every))], parts))
+                doc = _documents(row)
+                for k in range(1, order + 1):
+                    every, which = _order(row, k)
+                    kinds = [np.bincount(which, flags[doc], len(every)) for flags in (train, train & ~held)]
+                    for asked in counts.requests(f"{row['block']}{k}", every, kinds, parts):
+                        yield pd.DataFrame([asked])
 
     return table.mapInPandas(ask, counts.REQUEST)
 
 
+def _answered(answered: DataFrame) -> DataFrame:
+    """Replies with the order apart from the block's name."""
+    own = answered.where("block <> ''")
+    return own.withColumns({"block": F.substring("block", 1, 32), "order": F.substring("block", 33, 2).cast("int")})
+
+
 def _seen(row, replies: pd.DataFrame, order: int, kind: int, documents: int):
     """Count of each token's k-gram and of its history, k from 1 to order."""
-    keys, doc, place = _grams(row, order)
-    # places are looked up an order at a time: no sort order of all keys is held
-    every, answer = np.unique(np.concatenate(keys)), counts.answers(replies, kind)
-    found = np.stack([answer[np.searchsorted(every, k)] for k in keys])
+    place = _places(row)
+    found = []
+    for k in range(1, order + 1):
+        answer = counts.answers(replies[replies["order"] == k], kind)
+        found.append(answer[_order(row, k)[1]])
     histories = [np.where(place > 0, np.roll(found[k - 1], 1), documents) for k in range(1, order)]
-    return found, histories, doc, place
+    return found, histories
 
 
 def bucket(histories: list[np.ndarray], n: int) -> np.ndarray:
@@ -141,14 +179,14 @@ def _held_counts(table: DataFrame, answered: DataFrame, order: int, documents: i
     def look(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or not left["held"].iloc[0]:
             return pd.DataFrame(columns=["bucket", *names, "n"])
-        found, histories, _, _ = _seen(left.iloc[0], right, order, 1, documents)
-        rows = np.stack([bucket(histories, found.shape[1]), *found, *histories])
+        found, histories = _seen(left.iloc[0], right, order, 1, documents)
+        rows = np.stack([bucket(histories, len(found[0])), *found, *histories])
         distinct, n = np.unique(rows, axis=1, return_counts=True)
         return pd.DataFrame(dict(zip(["bucket", *names, "n"], [*distinct, n])))
 
     ddl = ", ".join(f"{x} long" for x in ["bucket", *names, "n"])
     held = table.where("held")
-    own = answered.join(held.select("block"), "block", "left_semi")
+    own = _answered(answered).join(held.select("block"), "block", "left_semi")
     return held.groupBy("block").cogroup(own.groupBy("block")).applyInPandas(look, ddl).groupBy("bucket", *names).agg(F.sum("n").alias("n"))
 
 
@@ -160,7 +198,7 @@ def _fit(held: DataFrame, order: int, total: int, kinds: int) -> dict[int, list[
     sums = held.groupBy("bucket").agg(F.sum("n").alias("n"), *[F.max(f"p{k}").alias(f"p{k}") for k in range(order + 1)]).collect()
     can = {r["bucket"]: [k < 2 or r[f"p{k}"] > 0 for k in range(order + 1)] for r in sums}
     weights = {b: [x / sum(ok) for x in ok] for b, ok in can.items()}
-    for _ in range(ROUNDS):
+    for nth in range(ROUNDS):
         table = held.sparkSession.createDataFrame([(b, *map(float, w)) for b, w in weights.items()], ", ".join(["bucket long", *(f"w{k} double" for k in range(order + 1))])) if weights else None
         if table is None:
             break
@@ -173,8 +211,10 @@ def _fit(held: DataFrame, order: int, total: int, kinds: int) -> dict[int, list[
             new[r["bucket"]] = [x / sum(e) for x in e]
         moved = max((abs(a - b) for k in new for a, b in zip(new[k], weights[k])), default=0)
         weights = new
-        if moved < 1e-4:
+        if moved < MOVED:
             break
+        if nth == ROUNDS - 1:
+            raise RuntimeError(f"the weights still move by {moved} after {ROUNDS} rounds")
     drop(held)
     return weights
 
@@ -226,9 +266,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
         if left.empty:
             return pd.DataFrame(columns=[x.split()[0] for x in ddl.split(", ")])
         row = left.iloc[0]
-        found, histories, doc, _ = _seen(row, right, order, 0, documents)
+        found, histories = _seen(row, right, order, 0, documents)
+        doc = _documents(row)
         base = np.log10((found[0] + 0.5) / (total + 0.5 * (kinds + 1)))
-        own = bucket(histories, found.shape[1])
+        own = bucket(histories, len(found[0]))
         there, at = np.unique(own, return_inverse=True)
         of = _all_weights(weights, order)
         w = np.array([of(int(b)) for b in there])[at].T
@@ -240,4 +281,4 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
         known = np.bincount(doc, found[0] > 0, size).astype(np.int64)
         return pd.DataFrame({"doc_id": pd.array([None if i == NO_ID else int(i) for i in row["ids"]], "Int64"), "held_out": ~train, "n_tokens": np.asarray(row["sizes"], np.int64), "n_known": known, "train_tokens": total, "base_score": np.bincount(doc, base, size), "score": np.bincount(doc, np.log10(p), size)})
 
-    return table.groupBy("block").cogroup(answered.where("block <> ''").groupBy("block")).applyInPandas(sums, ddl)
+    return table.groupBy("block").cogroup(_answered(answered).groupBy("block")).applyInPandas(sums, ddl)
