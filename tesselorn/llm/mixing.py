@@ -1,15 +1,21 @@
 """Mixing sources to target weights by soft membership.
 
 A multinomial classifier, fitted on a labelled table, gives each document its
-domain posteriors. Nonnegative document rates (expected copies) are then fitted
-by projected-gradient least squares so that the expected tokens of each domain,
-the sum over documents of rate * tokens * posterior, are the target share of
-the corpus's tokens. The fit starts from rate 1 for each document.
-
-The gradient for a document is its posteriors times one residual for each
-domain. So a document's rate follows from the residuals of all steps so far:
-a step sends these few numbers out and gets the domain sums back, and no state
-is kept for a document between steps.
+domain posteriors p. Nonnegative document rates r (expected copies) are then
+fitted by projected-gradient least squares: with the shares t of the corpus's
+tokens they minimise
+
+    1/2 |sum_d t_d r_d p_d - target|^2 + ridge/2 sum_d t_d (r_d - 1)^2,  r >= 0
+
+The ridge makes the answer one and only, also where no rates meet the target:
+without it a target of 0 for a domain would leave a handful of documents only.
+
+A rate is the projection onto r >= 0 of a gradient step from 1, which is p times
+one number for each domain: r = max(0, 1 - p.z). Each pass over the documents
+sums the gradient and the curvature of those not held at 0; the step is scaled by
+that small matrix, and shortened until the dual objective grows. Passes go on
+until the duality gap, the most by which the objective can exceed its least
+value, is closed. No state is kept for a document between passes.
 """
 
 from __future__ import annotations
@@ -28,8 +34,9 @@ from tesselorn.llm.quality import inputs
 
 MAX_LABELLED = 6000
 EPOCHS = 8
-STEPS = 60
-TOLERANCE = 1e-4
+RIDGE = 1e-4
+#: Passes go on until the duality gap is this small; ``PASSES`` without is an error.
+GAP, PASSES = 1e-9, 200
 
 
 @dataclass
@@ -68,10 +75,12 @@ def fit_domains(rows: list[tuple[np.ndarray, np.ndarray, str]], rate: float = 0.
 
 def train(docs: DataFrame, labelled: DataFrame, max_labelled: int = MAX_LABELLED) -> Domains:
     """A classifier of ``labelled`` (doc_id, domain): on at most ``max_labelled``
-    ids, those of least hash. Rows with a null are left out."""
+    ids, those of least hash. Rows with a null are left out; of an id's several
+    texts the one of least hash counts."""
     few = labelled.dropna(subset=["doc_id", "domain"]).groupBy("doc_id").agg(F.min("domain").alias("_domain")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     n_chars = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
-    got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", n_chars.alias("n_chars")).join(F.broadcast(few), "doc_id").dropDuplicates(["doc_id"])
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(F.xxhash64("text").alias("hash"), "text", n_chars.alias("n_chars")).alias("_row"))
+    got = own.join(F.broadcast(few), "doc_id").groupBy("doc_id", "_domain").agg(F.min("_row").alias("_row")).select("doc_id", "_domain", "_row.text", "_row.n_chars")
     schema = pa.schema([("id", pa.int64()), ("domain", pa.string()), ("at", pa.binary()), ("x", pa.binary())])
 
     def fold(batches):
@@ -81,7 +90,7 @@ def train(docs: DataFrame, labelled: DataFrame, max_labelled: int = MAX_LABELLED
                 rows = [inputs(t, n) for t, n in zip(as_bytes(part.column(2)), part.column(3).to_pylist())]
                 yield batch(schema, id=part.column(0), domain=part.column(1), at=[a.tobytes() for a, _ in rows], x=[x.tobytes() for _, x in rows])
 
-    found = got.select("doc_id", "_domain", "text", "n_chars").mapInArrow(fold, "id long, domain string, at binary, x binary").toArrow().sort_by("id")
+    found = got.mapInArrow(fold, "id long, domain string, at binary, x binary").toArrow().sort_by("id")
     columns = [found[c].to_pylist() for c in ("at", "x", "domain")]
     return fit_domains([(np.frombuffer(a, np.int32), np.frombuffer(x, np.float32), d) for a, x, d in zip(*columns)])
 
@@ -103,55 +112,64 @@ def members(docs: DataFrame, domains: Domains) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), "text", n_chars).mapInArrow(fold, "doc_id long, text_hash long, n_tokens long, posteriors array<double>")
 
 
-def replay(p: np.ndarray, steps: list[tuple[np.ndarray, float]]) -> np.ndarray:
-    """Rates after the steps so far: each is a residual for each domain and the
-    momentum that follows it."""
-    rate = ahead = np.ones(len(p))
-    for residual, momentum in steps:
-        new = np.maximum(0, ahead - p @ residual)
-        ahead = new + momentum * (new - rate)
-        rate = new
-    return ahead if steps else rate
+def rates(p: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """Rates of documents with posteriors ``p``, for a step of ``z``."""
+    return np.maximum(0, 1 - p @ z)
 
 
-def _sums(table: DataFrame, k: int, steps: list) -> tuple[np.ndarray, np.ndarray]:
-    """Expected tokens of each domain at the steps' rates; and the tokens' second
-    moments of posteriors."""
+def _sums(table: DataFrame, z: np.ndarray, tokens: float = 1.0) -> tuple[np.ndarray, np.ndarray, float, float]:
+    """One pass: the domains' tokens at these rates, the curvature of documents
+    not held at 0, and the sums of (rate - 1)^2 and of the dual's terms, all as
+    shares of ``tokens``."""
+    k = len(z)
 
     def fold(batches):
         for b in batches:
             if len(b):
                 p, t = np.stack(b["posteriors"].to_numpy()), b["n_tokens"].to_numpy(float)
-                yield pd.DataFrame({"s": [((replay(p, steps) * t) @ p).tolist()], "m": [((p * t[:, None]).T @ p).ravel().tolist()]})
-
-    row = table.select("n_tokens", "posteriors").mapInPandas(fold, "s array<double>, m array<double>")
-    row = row.agg(*[F.sum(F.col("s")[i]).alias(f"s{i}") for i in range(k)], *[F.sum(F.col("m")[i]).alias(f"m{i}") for i in range(k * k)]).first()
-    return np.array([row[f"s{i}"] or 0.0 for i in range(k)]), np.array([row[f"m{i}"] or 0.0 for i in range(k * k)]).reshape(k, k)
-
-
-def fit_rates(table: DataFrame, shares: np.ndarray, steps: int = STEPS, tolerance: float = TOLERANCE, budget: float = 1.0) -> list[tuple[np.ndarray, float]]:
-    """Projected gradient with momentum on 1/2 |sum_d rate_d t_d p_d - target|^2
-    in the token-weighted metric. ``budget``: tokens wanted, as a multiple of the
-    corpus's. Returns the steps for ``replay``."""
-    k = len(shares)
-    now, second = _sums(table, k, [])
-    total = now.sum()
-    if not total:
-        return []
-    want = shares * total * budget
-    top = float(np.linalg.eigvalsh(second / total)[-1])
-    done: list[tuple[np.ndarray, float]] = []
-    t = 1.0
-    for _ in range(steps):
-        if np.abs(now - want).max() <= tolerance * total:
-            break
-        grown = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        done.append(((now - want) / total / top, (t - 1) / grown))
-        t = grown
-        now, _ = _sums(table, k, done)
-    if done:
-        done[-1] = (done[-1][0], 0.0)  # the result is the point, not the look-ahead
-    return done
+                step = p @ z
+                r, free = np.maximum(0, 1 - step), step < 1
+                dual = np.where(free, step - step * step / 2, 0.5)
+                sums = [*(p.T @ (t * r)), *((p * (t * free)[:, None]).T @ p).ravel(), t @ (r - 1) ** 2, t @ dual]
+                yield pd.DataFrame({"sums": [[float(x) for x in sums]]})
+
+    n = k + k * k + 2
+    row = table.select("n_tokens", "posteriors").mapInPandas(fold, "sums array<double>").agg(*[F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(n)]).first()
+    found = np.array([row[f"s{i}"] or 0.0 for i in range(n)]) / tokens
+    return found[:k], found[k:-2].reshape(k, k), found[-2], found[-1]
+
+
+def fit_rates(table: DataFrame, shares: np.ndarray, budget: float = 1.0, ridge: float = RIDGE) -> np.ndarray:
+    """The step z of the rates that solve the problem above. ``budget``: tokens
+    wanted, as a multiple of the corpus's."""
+    k, want = len(shares), shares * budget
+    tokens = _sums(table, np.zeros(k))[0].sum()
+    if not tokens:
+        return np.zeros(k)
+
+    def at(v: np.ndarray):
+        now, curvature, apart, dual = _sums(table, v / ridge, tokens)
+        primal = 0.5 * ((now - want) ** 2).sum() + 0.5 * ridge * apart
+        return now - want, curvature, primal, ridge * dual - 0.5 * v @ v - v @ want
+
+    v = np.zeros(k)
+    residual, curvature, primal, dual = at(v)
+    passes = 1
+    while primal - dual > GAP:
+        slope = residual - v
+        step = np.linalg.solve(np.eye(k) + curvature / ridge, slope)
+        size = 1.0
+        while True:
+            if passes == PASSES:
+                raise RuntimeError(f"the duality gap is {primal - dual} after {PASSES} passes")
+            passes += 1
+            found = at(v + size * step)
+            if found[3] >= dual + 1e-4 * size * (slope @ step):
+                break
+            size /= 2
+        v = v + size * step
+        residual, curvature, primal, dual = found
+    return v / ridge
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget: float = 1.0, max_labelled: int = MAX_LABELLED) -> DataFrame:
@@ -159,12 +177,14 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget:
 
     ``targets``: wanted share of expected tokens for each domain, scaled to sum
     to 1 over the domains that labelled documents have; a domain of the labels
-    without one gets 0. copies is the rate rounded up or down by a hash of the id, so that its
+    without one gets 0. Domains whose names differ in case alone are an error. copies is the rate rounded up or down by a hash of the id, so that its
     mean is the rate. Null and empty texts have no token, keep rate by their
     posteriors and change no sum. Repeated rows are fitted each. An empty table
     gives an empty result; without any labelled document of a target's domain an error is raised.
     """
     domains = train(docs, labelled, max_labelled)
+    if len({d.lower() for d in domains.names}) < len(domains.names):
+        raise ValueError(f"domains that differ in case alone: {domains.names}")
     if sum(targets.get(d, 0.0) for d in domains.names) <= 0:
         if docs.isEmpty():
             shape = ["doc_id long", "text_hash long", "n_tokens long", *[f"p_{d} double" for d in sorted(targets)], "rate double", "copies int"]
@@ -172,12 +192,12 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget:
         raise ValueError(f"targets {sorted(targets)} for the labelled domains {domains.names}")
     shares = np.array([targets.get(d, 0.0) for d in domains.names])
     table = written(members(docs, domains))
-    steps = fit_rates(table, shares / shares.sum(), budget=budget)
+    z = fit_rates(table, shares / shares.sum(), budget=budget)
 
     def fold(batches):
         for b in batches:
             p = np.stack(b["posteriors"].to_numpy()) if len(b) else np.zeros((0, len(shares)))
-            yield b.assign(rate=replay(p, steps))
+            yield b.assign(rate=rates(p, z))
 
     out = table.mapInPandas(fold, "doc_id long, text_hash long, n_tokens long, posteriors array<double>, rate double")
     part = F.pmod(F.xxhash64(F.lit("copies"), "doc_id", "text_hash"), F.lit(1 << 20)) / (1 << 20)

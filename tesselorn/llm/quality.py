@@ -81,19 +81,22 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], rank: int = RANK, epochs
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, most: int, extra: list[str]) -> list:
-    """Texts with their label, for at most ``most`` labelled ids of documents:
+    """(_id, _label, text, extra...) of at most ``most`` labelled ids of documents:
     those of least hash. Ids and labels are nowhere null; an id's label is its
-    least one. Works on texts in the executors' features only."""
+    least one, and of its several texts the one of least hash counts."""
     own = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(label).alias("_label"))
     few = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    got = docs.join(F.broadcast(few), docs[id_col] == few["doc_id"]).select(few["doc_id"].alias("_id"), "_label", text_col, *extra)
-    return got
+    row = F.struct(F.xxhash64(f"`{text_col}`").alias("hash"), F.col(f"`{text_col}`").alias("text"), *extra)
+    own = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), row.alias("_row"))
+    got = own.join(F.broadcast(few.select(F.col("doc_id").cast("long").alias("_id"), "_label")), "_id").groupBy("_id", "_label").agg(F.min("_row").alias("_row"))
+    return got.select("_id", "_label", "_row.text", *[f"_row.{c}" for c in extra])
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED) -> Machine:
     """Fitted on labels (doc_id, ``label`` 0 or 1); no row or one label: the share."""
     n_chars = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
-    got = sample(docs.withColumn("_n_chars", n_chars), labels, label, id_col, text_col, max_labelled, ["_n_chars"])
+    own = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), n_chars.alias("_n_chars"))
+    got = sample(own, labels, label, "doc_id", "text", max_labelled, ["_n_chars"])
     schema = pa.schema([("id", pa.int64()), ("label", pa.int32()), ("at", pa.binary()), ("x", pa.binary())])
 
     def fold(batches):
@@ -103,7 +106,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: st
                 rows = [inputs(t, n) for t, n in zip(as_bytes(part.column(2)), part.column(3).to_pylist())]
                 yield batch(schema, id=part.column(0), label=part.column(1).cast(pa.int32()), at=[a.tobytes() for a, _ in rows], x=[x.tobytes() for _, x in rows])
 
-    found = got.dropDuplicates(["_id"]).mapInArrow(fold, "id long, label int, at binary, x binary").toArrow().sort_by("id")
+    found = got.mapInArrow(fold, "id long, label int, at binary, x binary").toArrow().sort_by("id")
     columns = [found[c].to_pylist() for c in ("at", "x", "label")]
     return fit([(np.frombuffer(a, np.int32), np.frombuffer(x, np.float32), y) for a, x, y in zip(*columns)])
 

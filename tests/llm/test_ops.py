@@ -206,20 +206,56 @@ def test_line_dedup_needs_the_second_round(docs_of):
 # op4
 
 
-def test_mixing(spark, docs_of):
+def rates_by_hand(p, t, want, steps=40_000):
+    """Plain projected gradient, a step at a time, over all rates."""
+    rate = np.ones(len(t))
+    size = 1 / (np.linalg.eigvalsh((p * t[:, None]).T @ p)[-1] + mixing.RIDGE)
+    for _ in range(steps):
+        gradient = p @ ((t * rate) @ p - want) + mixing.RIDGE * (rate - 1)
+        rate = np.maximum(0, rate - size * gradient)
+    return rate, 0.5 * (((t * rate) @ p - want) ** 2).sum() + 0.5 * mixing.RIDGE * (t * (rate - 1) ** 2).sum()
+
+
+def mixing_rows():
     rng = random.Random(3)
     rows = [(i, " ".join(rng.choices(["red", "blue", "the"] if i % 3 else ["bad", "worse", "the"], k=rng.randint(5, 60)))) for i in range(150)]
-    rows += [(200, None), (201, ""), (None, "red blue")]
+    return rows + [(200, None), (201, ""), (None, "red blue"), (202, "red " * 3000), rows[4], rows[4]]
+
+
+@pytest.mark.parametrize("want", [{"x": 0.9, "y": 0.1}, {"x": 1.0, "y": 0.0}, {"x": 0.3, "y": 0.7}])
+def test_mixing(spark, docs_of, want):
+    """Reachable and unreachable targets; nulls, a long text and repeated rows."""
+    rows = mixing_rows()
     labels = spark.createDataFrame([(i, "x" if i % 3 else "y") for i in range(0, 150, 2)] + [(None, "x"), (3, None)], "doc_id long, domain string")
-    for want in ({"x": 0.9, "y": 0.1}, {"x": 1.0, "y": 0.0}, {"x": 0.3, "y": 0.7}):
-        got = mixing.mix(docs_of(rows), labels, want).collect()
-        assert len(got) == len(rows) and all(r.rate >= 0 and abs(r.copies - r.rate) < 1 for r in got)
-        total = sum(r.n_tokens for r in got)
-        for d in want:
-            found = sum(r.rate * r.n_tokens * r[f"p_{d}"] for r in got)
-            assert found / total == pytest.approx(want[d], abs=0.02)
+    got = mixing.mix(docs_of(rows).repartition(3), labels, want).collect()
+    assert len(got) == len(rows) and all(r.rate >= 0 and abs(r.copies - r.rate) < 1 for r in got)
+    p, t = np.array([[r.p_x, r.p_y] for r in got]), np.array([r.n_tokens for r in got], float)
+    t /= t.sum()
+    rate, best = rates_by_hand(p, t, np.array([want["x"], want["y"]]))
+    own = np.array([r.rate for r in got])
+    found = 0.5 * (((t * own) @ p - [want["x"], want["y"]]) ** 2).sum() + 0.5 * mixing.RIDGE * (t * (own - 1) ** 2).sum()
+    assert found <= best * 1.001 + 1e-9
+    assert own == pytest.approx(rate, abs=0.02)
+    assert {r.doc_id: r.n_tokens for r in got} == {i: len(words(t)) for i, t in rows}
+
+
+def test_mixing_without_labels_or_documents(spark, docs_of):
+    rows = mixing_rows()
+    labels = spark.createDataFrame([(i, "x" if i % 3 else "y") for i in range(0, 150, 2)], "doc_id long, domain string")
     with pytest.raises(ValueError):
         mixing.mix(docs_of(rows), labels, {"z": 1.0})
+    with pytest.raises(ValueError):
+        mixing.mix(docs_of(rows), labels.union(labels.selectExpr("doc_id + 1", "upper(domain)")), {"x": 1.0})
+    assert mixing.mix(docs_of([]), labels, {"x": 0.5, "y": 0.5}).count() == 0
+
+
+def test_labelled_ids_that_repeat(spark, docs_of):
+    """Of several texts of a labelled id one is learnt, always the same."""
+    rows = [(i, f"good {i}" if i % 2 else f"bad {i}") for i in range(40)] + [(3, "other text"), (3, "and another"), (4, None)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    one, two = (quality.train(docs_of(r).repartition(n), labels) for r, n in ((rows, 1), (rows[::-1], 5)))
+    assert (one.linear == two.linear).all() and (one.vectors == two.vectors).all()
+    assert quality.classify(docs_of([]), labels).count() == 0
 
 
 # op5
