@@ -33,7 +33,7 @@ from tesselorn.llm.features import STRUCTURE, WORD_BITS
 from tesselorn.llm.quality import inputs
 
 MAX_LABELLED = 6000
-EPOCHS = 8
+EPOCHS, RATE = 16, 0.5
 RIDGE = 1e-4
 #: Passes go on until the duality gap is this small; ``PASSES`` without is an error.
 GAP, PASSES = 1e-9, 200
@@ -52,7 +52,7 @@ class Domains:
         return e / e.sum()
 
 
-def fit_domains(rows: list[tuple[np.ndarray, np.ndarray, str]], rate: float = 0.2, epochs: int = EPOCHS, seed: int = 11) -> Domains:
+def fit_domains(rows: list[tuple[np.ndarray, np.ndarray, str]], rate: float = RATE, epochs: int = EPOCHS, seed: int = 11) -> Domains:
     """Stochastic gradients of the cross entropy, with per-input step sizes."""
     names = sorted({d for *_, d in rows})
     code = {d: i for i, d in enumerate(names)}
