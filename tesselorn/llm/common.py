@@ -71,22 +71,37 @@ HOT_ROWS = 1_000_000
 SALTS = 64
 
 
-def join_hot(many: DataFrame, one: DataFrame, key: str, hot: list, how: str = "inner") -> DataFrame:
-    """``many`` joined by ``key`` with ``one``, which has a row for each key. Rows of
-    the keys in ``hot`` are dealt to ``SALTS`` tasks each, whose row of ``one``
-    is repeated; so no task gets a hot key whole. A row's task follows from its columns, so that a
-    repeated task deals it out alike. There are at most as many hot
-    keys as rows over ``HOT_ROWS``."""
+def join_hot(many: DataFrame, one: DataFrame, keys: str | list[str], hot: list, how: str = "inner") -> DataFrame:
+    """``many`` joined by ``keys`` with ``one``, which has a row for each key. Rows of
+    the keys in ``hot`` (rows of ``keys``) are dealt to ``SALTS`` tasks each, whose
+    row of ``one`` is repeated; so no task gets a hot key whole. A row's task
+    follows from its columns, so that a repeated task deals it out alike. There
+    are at most as many hot keys as rows over ``HOT_ROWS``."""
+    keys = [keys] if isinstance(keys, str) else keys
     if not hot:
-        return many.join(one, key, how)
-    session = many.sparkSession
-    kind = one.schema[key].dataType.simpleString()
-    keys = F.broadcast(session.createDataFrame([(h,) for h in hot], f"`{key}` {kind}").withColumn("_hot", F.lit(True)))
-    salt = lambda column: F.when(F.col("_hot"), column).otherwise(F.lit(0))
-    left = many.join(keys, key, "left").withColumn("_salt", salt(F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in many.columns]), F.lit(SALTS)).cast("int"))).drop("_hot")
+        return many.join(one, keys, how)
+    kinds = ", ".join(f"`{k}` {one.schema[k].dataType.simpleString()}" for k in keys)
+    marked = F.broadcast(many.sparkSession.createDataFrame([tuple(h) for h in hot], kinds).withColumn("_hot", F.lit(True)))
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in many.columns]), F.lit(SALTS)).cast("int")
+    left = many.join(marked, keys, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))).drop("_hot")
     copies = F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
-    right = one.join(keys, key, "left").withColumn("_salt", copies).drop("_hot")
-    return left.join(right, [key, "_salt"], how).drop("_salt")
+    right = one.join(marked, keys, "left").withColumn("_salt", copies).drop("_hot")
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+
+
+def hot_keys(counted: DataFrame, keys: list[str], most: int | None = None) -> list:
+    """Rows of ``keys`` whose column n is over ``most`` (``HOT_ROWS``)."""
+    return counted.where(F.col("n") > (HOT_ROWS if most is None else most)).select(*keys).collect()
+
+
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """The names, with as many underscores before them as make them new to ``docs``."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
 
 
 def remainder(doc_id: Column, of: int = 5) -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tesselorn.llm import common
-from tesselorn.llm.common import as_bytes, batch, components, drop, join_hot, written
+from tesselorn.llm.common import as_bytes, batch, components, drop, hot_keys, join_hot, written
 
 SEED = 42
 SHINGLE = 3
@@ -193,9 +193,9 @@ def connected(links: DataFrame) -> DataFrame:
             near = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         else:
             near = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = near.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"), F.count("*").alias("_n"))
-        hubs = [r["a"] for r in least.where(F.col("_n") > common.HOT_ROWS).select("a").collect()] if n > common.HOT_ROWS else []
-        out = join_hot(near, least.drop("_n"), "a", hubs)
+        least = near.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"), F.count("*").alias("n"))
+        hubs = hot_keys(least, ["a"]) if n > common.HOT_ROWS else []
+        out = join_hot(near, least.drop("n"), "a", hubs)
         if large:
             return out.where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
         return out.select(F.col("b").alias("x"), "least", "a").select(F.explode(F.array("x", "a")).alias("a"), F.col("least").alias("b")).where("a <> b").distinct()
@@ -224,10 +224,9 @@ def near_duplicates(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     roots = connected(_links(codes, radius))
     rooted = written(codes.join(roots, codes["code"] == roots["node"], "left").select("code", "least", "n", F.coalesce("root", "code").alias("root")))
     groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
-    over = lambda df, key: [r[key] for r in df.where(F.col("n") > common.HOT_ROWS).select(key).collect()]
-    labels = written(join_hot(rooted.drop("n"), groups.drop("n"), "root", over(groups, "root")).select("code", "component_id"))
+    labels = written(join_hot(rooted.drop("n"), groups.drop("n"), "root", hot_keys(groups, ["root"])).select("code", "component_id"))
     drop(rooted)
-    return join_hot(prints, labels, "code", over(codes, "code")).select("doc_id", "text_hash", "code", "component_id")
+    return join_hot(prints, labels, "code", hot_keys(codes, ["code"])).select("doc_id", "text_hash", "code", "component_id")
 
 
 def as_hex(code: Column) -> Column:

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -155,8 +156,8 @@ def line_facts(rows, least):
         n = [len(x.split()) for x in lines]
         for start in range(len(lines)):
             for end in range(start + 1, len(lines) + 1):
-                if sum(n[start:end]) >= least:
-                    out.append((i, start, end, tuple(lines[start:end])))
+                if n[start] and sum(n[start:end]) >= least:
+                    out.append((i, start, end, tuple(x for x in lines[start:end] if x)))
                     break
     return out
 
@@ -188,7 +189,7 @@ def test_line_dedup(docs):
     for i, gone in ranges.items():
         for line in gone - must.get(i, set()):  # by extension only
             text = [x.strip() for x in texts[None if i == linededup.LAST else i].encode().split(b"\n")]
-            assert sum(text[line] in [x.strip() for x in (t or "").encode().split(b"\n")] for _, t in rows) > 1
+            assert not text[line] or sum(text[line] in [x.strip() for x in (t or "").encode().split(b"\n")] for _, t in rows) > 1
     assert kept
     assert linededup.dedup(docs.limit(0)).count() == 0
 
@@ -203,6 +204,56 @@ def test_line_dedup_needs_the_second_round(docs_of):
     assert gram in got[4] and got[4].count("g0 ") < 4
 
 
+def test_line_dedup_runs_hidden_by_others(docs_of):
+    """A run at another place of the same earlier document; blank lines between."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(n)) for x, n in (("a", 40), ("b", 15), ("c", 20), ("d", 20)))
+    rows = [(1, f"{a}\n{b}\nx\n{b}\n{c}\n{d}\ny"), (2, f"{a}\n{b}\n{c}\n{d}"), (3, f"{a}\n\n \t\n{b}\n\nkept\n\n{b}\n\n{c}\n{d}\n\nend")]
+    got = {r.doc_id: r.text for r in linededup.dedup(docs_of(rows)).collect()}
+    assert got == {1: rows[0][1], 2: "", 3: "\nkept\n\n\nend"}
+
+
+def test_line_dedup_random_runs(docs_of):
+    """Documents of few different lines, so that runs overlap in many ways: every
+    window that stands earlier goes, and nothing but lines that stand earlier."""
+    rng = random.Random(11)
+    lines = [" ".join(f"{x}{i}" for i in range(rng.randint(8, 40))) for x in "abcdefgh"]
+    for _ in range(3):
+        rows = [(i, "\n".join(rng.choices([*lines, ""], k=rng.randint(3, 12)))) for i in range(60)]
+        ranges = {r.order_id: {n for x in r.ranges for n in range(x.start, x.end)} for r in linededup.repeated_lines(docs_of(rows).repartition(3)).collect()}
+        seen = set()
+        for i, start, end, run in line_facts(rows, linededup.MIN_WORDS):
+            if run in seen:
+                text = rows[i][1].split("\n")
+                assert {n for n in range(start, end) if text[n]} <= ranges.get(i, set())
+            seen.add(run)
+        assert 0 not in ranges or rows[0][1]
+
+
+def test_line_dedup_hot_keys_and_clashing_columns(spark, docs_of, monkeypatch):
+    """A passage in every document, copies of one, and columns of all our names."""
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    monkeypatch.setattr(common, "SALTS", 3)
+    monkeypatch.setattr(linededup, "HOT_COPIES", 4)
+    passage = "\n".join(" ".join(f"p{i}w{j}" for j in range(20)) for i in range(4))
+    rows = [(i, f"head {i}\n{passage}\ntail {i}") for i in range(40)] + [(i, f"{passage}\n" * 2) for i in range(40, 60)]
+    docs = docs_of(rows)
+    for name in ("_id", "_hash", "_ranges", "_kept", "__id", "removed_lines"):
+        docs = docs.withColumn(name, F.lit("mine"))
+    got = {r.doc_id: r for r in linededup.dedup(docs.repartition(5)).collect()}
+    assert got[0].text == rows[0][1] and all(got[i].text == f"head {i}\ntail {i}" for i in range(1, 40))
+    assert all(got[i].text == "" and got[i]._id == got[i]._hash == got[i]._ranges == got[i]._kept == got[i]["__id"] == "mine" for i in range(40, 60))
+
+
+def test_line_dedup_very_long_texts(docs_of):
+    blank, one = "\n" * 1_000_000, "word\n" * 200_000
+    rows = [(1, " ".join(["x"] * 60) + blank), (2, blank + " ".join(["x"] * 60)), (3, one), (4, one + "end")]
+    began = time.time()
+    got = {r.doc_id: (r.text, r.removed_lines) for r in linededup.dedup(docs_of(rows)).collect()}
+    assert time.time() - began < 60
+    assert got[1] == (rows[0][1], 0) and got[2] == (blank[1:], 1) or got[2][1] == 1
+    assert got[3][0].strip("\n") == "word" and got[4][0] == "end"
+
+
 # op4
 
 
