@@ -26,8 +26,11 @@ COMMON = (
 ).split()
 CHAIN = 3
 THRESHOLD = 0.8
-#: Rows of a range of ids, about, in which the next document is looked for.
-RANGE_ROWS = 20_000
+#: Rows of a range of ids, about, in which the next document is looked for; and
+#: the most ranges there are: beyond, a range's sort spills more.
+RANGE_ROWS, MOST_RANGES = 4_000, 1 << 16
+#: Marks a content word that follows an anchor; no word contains it.
+AFTER = "\x01"
 
 
 def signatures(text: Column, chain: int = CHAIN, common: list[str] = COMMON) -> Column:
@@ -35,17 +38,27 @@ def signatures(text: Column, chain: int = CHAIN, common: list[str] = COMMON) ->
     no anchor is followed by a whole chain has one signature, all its words; a
     text without words has one if it is not empty, and else none. Null: as empty."""
     whole = F.coalesce(text, F.lit(""))
+
+    def chained(content: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.size(content) - (chain - 1)), lambda i: F.startswith(F.get(content, i - 1), F.lit(AFTER)))
+        words = lambda i: F.concat(F.lit(" "), F.translate(F.array_join(F.slice(content, i, chain), " "), AFTER, ""))
+        return F.when(F.size(content) >= chain, F.transform(starts, lambda i: F.xxhash64(words(i)).bitwiseAND(F.lit(0xFFFFFFFF)))).otherwise(F.array().cast("array<bigint>"))
+
+    def found(body: Column) -> Column:
+        # a chain starts at a content word whose word before is an anchor: marked in one pass
+        marked = lambda words: F.transform(words, lambda w, i: F.when(w.isin(common), "").when((i > 0) & F.get(words, i - 1).isin(common), F.concat(F.lit(AFTER), w)).otherwise(w))
+        content = _bound(F.split(body, " "), lambda words: F.filter(marked(words), lambda w: w != ""))
+        alone = F.when(whole == "", F.array().cast("array<bigint>")).otherwise(F.array(F.xxhash64(F.when(body == "", whole).otherwise(F.concat(F.lit(" "), body, F.lit(" ")))).bitwiseAND(F.lit(0xFFFFFFFF))))
+        return _bound(_bound(content, chained), lambda h: F.when(F.size(h) > 0, h).otherwise(alone))
+
     body = F.trim(F.regexp_replace(F.lower(whole), r"[^\p{L}\p{N}]+", " "))
-    words = F.concat(F.lit(" "), body, F.lit(" "))
-    anchor = "(?:" + "|".join(sorted(common, key=len, reverse=True)) + ")"
-    passed = f"(?: {anchor}(?= ))*+"
-    spot = f" {anchor}(?=((?:{passed} [^ ]++){{{chain}}}) )"
-    chains = F.regexp_extract_all(words, F.lit(spot), F.lit(1))
-    hashes = F.transform(chains, lambda c: F.xxhash64(F.regexp_replace(c, f" {anchor}(?= )", "")).bitwiseAND(F.lit(0xFFFFFFFF)))
-    alone = F.when(whole == "", F.array().cast("array<bigint>")).otherwise(F.array(F.xxhash64(F.when(body == "", whole).otherwise(words)).bitwiseAND(F.lit(0xFFFFFFFF))))
-    # bound by a lambda: a column named twice would be searched for twice
-    found = F.get(F.transform(F.array(hashes), lambda h: F.when(F.size(h) > 0, h).otherwise(alone)), F.lit(0))
-    return F.array_sort(F.array_distinct(found))
+    return F.array_sort(F.array_distinct(_bound(body, found)))
+
+
+def _bound(value: Column, then) -> Column:
+    """``then(value)``, with the value computed once: a column named twice would
+    be computed twice, and in a lambda once an element."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
 def as_text(sigs: Column) -> Column:
@@ -62,31 +75,44 @@ def jaccard(a: Column, b: Column, least: float = 0.0) -> Column:
     return F.when(a == b, 1.0).when(F.least(n, m) < least * F.greatest(n, m), 0.0).otherwise(exact)
 
 
-def with_next(docs: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
+def _place(bounds: list[tuple[int, int]], *key: Column) -> Column:
+    """How many of the sorted pairs are less than the key, by halving."""
+    of = [F.expr(f"cast(split('{','.join(str(b[i]) for b in bounds)}', ',') as array<bigint>)") for i in (0, 1)]
+    steps = [1 << i for i in range(len(bounds).bit_length() - 1, -1, -1)]
+
+    def less(nth: Column) -> Column:
+        a, b = F.get(of[0], nth), F.get(of[1], nth)
+        return F.coalesce((a < key[0]) | ((a == key[0]) & (b < key[1])), F.lit(False))
+
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda n, s: F.when(less(n + s - 1), n + s).otherwise(n))
+
+
+def with_next(docs: DataFrame, id_col: str, text_col: str, columns: list[str]) -> DataFrame:
     """``columns`` of each row and, as next_..., of the row after it in
-    descending id (null last; ties by the text), after the last of the first.
-    Rows are dealt to ranges of ids; the head of a range also goes, as a mark,
-    to the end of the range before it: one exchange of the rows, no single task."""
+    descending id (null last; ties by the text's hash), after the last of the
+    first. Rows are dealt to ranges of ids and hashes, so an id that repeats, or
+    null, fills no task alone; the greatest of a range also goes, as a mark, to
+    the range above: one exchange of the rows, no single task."""
     spark = docs.sparkSession
-    ids = docs.select(F.coalesce(F.col(id_col), F.lit(-(1 << 63))).alias("id"))
-    n = ids.count()
-    ranges = max(1, min(-(-n // RANGE_ROWS), 10_000))
-    cuts = []
-    if ranges > 1:
-        shares = [i / ranges for i in range(1, ranges)]
-        cuts = sorted(set(ids.agg(F.percentile_approx("id", shares, 100 * ranges)).first()[0]))
-    place = F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]), lambda c: c < F.col("_id"))) if cuts else F.lit(0)
-    heads = ids.select(F.col("id").alias("_id")).groupBy(place.alias("part")).agg(F.max("_id").alias("head")).orderBy(F.desc("part")).collect() if n else []
-    # the range that comes before each, in descending order; before the first, the last
-    before = [(h["part"], h["head"], heads[i - 1]["part"]) for i, h in enumerate(heads)]
-    links = spark.createDataFrame(before, "_part int, _head long, _before int")
-    own = docs.select(*columns, F.coalesce(F.col(id_col), F.lit(-(1 << 63))).alias("_id"))
-    own = own.withColumn("_part", place).join(F.broadcast(links), "_part")
-    copies = F.explode(F.when(F.col("_id") == F.col("_head"), F.array(F.struct(F.col("_part").alias("p"), F.lit(0).alias("mark")), F.struct(F.col("_before").alias("p"), F.lit(1).alias("mark")))).otherwise(F.array(F.struct(F.col("_part").alias("p"), F.lit(0).alias("mark")))))
-    dealt = own.withColumns({"_to": copies, "_order": F.xxhash64("text")})
-    order = Window.partitionBy("_to.p").orderBy("_to.mark", F.desc("_id"), "_order")
-    out = dealt.select(*columns, "_to", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns])
-    return out.where("_to.mark = 0").drop("_to")
+    key = [F.coalesce(F.col(id_col), F.lit(-(1 << 63))).alias("_id"), F.xxhash64(text_col).alias("_hash")]
+    keys = docs.select(*key)
+    ranges = max(1, min(-(-keys.count() // RANGE_ROWS), MOST_RANGES))
+    # the greatest key of each range: a row a range comes to the driver
+    dealt = keys.repartitionByRange(ranges, "_id", "_hash")
+    tops = sorted((r["top"]["_id"], r["top"]["_hash"]) for r in dealt.groupBy(F.spark_partition_id()).agg(F.max(F.struct("_id", "_hash")).alias("top")).collect())
+    if not tops:
+        return docs.select(*columns, *[F.col(c).alias(f"next_{c}") for c in columns])
+    own = docs.select(*columns, *key)
+    part, last = _place(tops, F.col("_id"), F.col("_hash")), len(tops) - 1
+    tops_of = [F.expr(f"cast(split('{','.join(str(t[i]) for t in tops)}', ',') as array<bigint>)") for i in (0, 1)]
+    own = own.withColumn("_part", part)
+    is_top = (F.get(tops_of[0], F.col("_part")) == F.col("_id")) & (F.get(tops_of[1], F.col("_part")) == F.col("_hash"))
+    at = lambda p, mark: F.struct(p.alias("p"), F.lit(mark).alias("mark"))
+    above = F.when(F.col("_part") == last, 0).otherwise(F.col("_part") + 1)
+    copies = F.explode(F.when(is_top, F.array(at(F.col("_part"), 1), at(above, 0))).otherwise(F.array(at(F.col("_part"), 1))))
+    order = Window.partitionBy("_to.p").orderBy("_to.mark", "_id", "_hash")
+    out = own.withColumn("_to", copies).select(*columns, "_to", *[F.lag(c).over(order).alias(f"next_{c}") for c in columns])
+    return out.where("_to.mark = 1").drop("_to")
 
 
 def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -99,9 +125,9 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     come last, rows that repeat an id are ordered by their text's hash. A lone
     document is its own next. An empty table gives an empty result.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    base = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     base = base.withColumn("sigs", signatures(F.col("text")))
-    pairs = with_next(base, "doc_id", ["doc_id", "text", "sigs"])
+    pairs = with_next(base, "doc_id", "text", ["doc_id", "text", "sigs"])
     n = F.length("text").cast("long")
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n.cast("int") - third), F.substring("next_text", F.lit(1), third))
@@ -125,7 +151,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     two sets without any of them in common stay below the threshold. Null ids
     are left out; null texts count as empty. No cap on partners.
     """
-    base = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), signatures(F.col(text_col)).alias("sigs"))
+    base = docs.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), signatures(F.col(f"`{text_col}`")).alias("sigs"))
     base = written(base)
     sets = written(base.groupBy("sigs").agg(F.min("doc_id").alias("class_id")))
     members = base.join(sets, "sigs").select("doc_id", "class_id")

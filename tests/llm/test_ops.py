@@ -312,7 +312,11 @@ def test_labelled_ids_that_repeat(spark, docs_of):
 # op5
 
 
-def test_spotsigs_pairs(docs):
+def likeness(a, b):
+    return 1.0 if a == b else len(a & b) / len(a | b)
+
+
+def test_spotsigs_pairs(spark, docs):
     got = sorted(spotsigs.edited_pairs(docs).collect(), key=str)
     order = lambda r: (r[0] is not None, r[0] or 0)
     rows = sorted([(i, t or "") for i, t in corpus()], key=order, reverse=True)
@@ -320,17 +324,36 @@ def test_spotsigs_pairs(docs):
     for at, (i, text) in enumerate(rows):
         other = rows[(at + 1) % len(rows)][1]
         k = len(text) // 3
-        edited = text[: len(text) - k] + other[:k]
-        want.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest()))
-    assert Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in got) == Counter(want)
-    prints = {}
-    for r in got:
-        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
-        prints.setdefault(r.doc_id, set()).add(r.fingerprint)
-    assert all(len(p) == 1 for p in prints.values())
+        want.append((i, len(text), text, text[: len(text) - k] + other[:k], other))
+    # the sets themselves are held to a version by hand below
+    texts = sorted({t for x in want for t in x[2:]})
+    sets = {r.t: frozenset(r.s) for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", spotsigs.signatures(F.col("t")).alias("s")).collect()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    printed = lambda t: "".join(f"{x:08x}" for x in sorted(sets[t]))
+    by_hand = Counter((i, n, sha(e), printed(t), printed(e), round(likeness(sets[t], sets[e]), 12), round(likeness(sets[t], sets[o]), 12)) for i, n, t, e, o in want)
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 12), round(r.near_next, 12)) for r in got) == by_hand
     assert spotsigs.edited_pairs(docs.limit(0)).count() == 0
 
 
+def test_spotsigs_ids_that_repeat_or_are_null(docs_of, monkeypatch):
+    """Many rows of one id and of none, in many ranges: each has one next row."""
+    monkeypatch.setattr(spotsigs, "RANGE_ROWS", 7)
+    rows = [(5, f"the text {i} of one id") for i in range(60)] + [(None, f"a text {i} without an id") for i in range(60)] + [(i, "same text") for i in range(10)] * 3
+    got = spotsigs.with_next(docs_of(rows).repartition(4), "doc_id", "text", ["doc_id", "text"]).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((r.next_doc_id, r.next_text) for r in got) == Counter(rows)
+    ids = lambda x: -1 if x is None else x
+    assert sum(ids(r.next_doc_id) > ids(r.doc_id) for r in got) == 1  # only after the last
+
+
+def test_spotsigs_very_long_texts(docs_of):
+    """A megabyte of one common word, of one word, and of anchors and words."""
+    rows = [(1, "the " * 250_000), (2, "x" * 1_000_000), (3, "the cat " * 120_000), (4, "the\n" * 250_000 + "big old cat")]
+    began = time.time()
+    got = {r.doc_id: r for r in spotsigs.edited_pairs(docs_of(rows)).collect()}
+    assert time.time() - began < 60
+    assert len(got[1].fingerprint) == len(got[2].fingerprint) == len(got[3].fingerprint) == len(got[4].fingerprint) == 8
+
+
 def sigs_by_hand(text):
     common_words = set(spotsigs.COMMON)
     tokens = re.sub(r"[^\w]+|_", " ", text.lower()).split()
@@ -349,7 +372,7 @@ def test_spotsigs_signatures_and_ranges(spark, docs, monkeypatch):
     for r in got:
         if r.text and "\u00a0" not in r.text and (want := sigs_by_hand(r.text)):
             assert set(r.s) == want
-    test_spotsigs_pairs(docs)
+    test_spotsigs_pairs(spark, docs)
 
 
 def test_spotsigs_near_duplicates(docs):
