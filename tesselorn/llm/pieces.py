@@ -6,6 +6,10 @@ rebuilds the model: normaliser (precompiled character map, white-space rules,
 dummy prefix as the metaspace marker), the vocabulary with its scores, and byte
 fallback. A unigram model becomes a Unigram model; a BPE model's scores rank its
 merges. ``verify`` holds the result against the sentencepiece library itself.
+
+The library's Unigram model would find control and byte pieces spelt out in a
+text. So their names get a space, which no normalised text has, and unknown
+pieces are turned to bytes here (``encoder``).
 """
 
 from __future__ import annotations
@@ -21,6 +25,8 @@ from tesselorn.llm.common import batch
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "\u2581"
+#: What the sentencepiece library decodes unknown pieces to, and a space.
+UNKNOWN_TEXT = " \u2047  "
 # Fixed values of the model format: piece types and model types.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -124,7 +130,8 @@ def backend(m: Model):
     from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
     if m.kind == UNIGRAM:
-        core = models.Unigram(list(zip(m.pieces, m.scores)), unk_id=m.unk, byte_fallback=m.byte_fallback)
+        names = [p if t in (NORMAL, USER_DEFINED) else UNKNOWN_TEXT if t == UNKNOWN else p + " " for p, t in zip(m.pieces, m.types)]
+        core = models.Unigram(list(zip(names, m.scores)), unk_id=m.unk, byte_fallback=False)
     else:
         ids = {p: i for i, p in enumerate(m.pieces)}
         usable = {p for p, t in zip(m.pieces, m.types) if t in (NORMAL, USER_DEFINED)}
@@ -138,7 +145,7 @@ def backend(m: Model):
     t = Tokenizer(core)
     steps = [normalizers.Precompiled(m.charsmap)] if m.charsmap else []
     if m.extra_spaces:
-        steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
+        steps += [normalizers.Replace(Regex("^ +| +$"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
     if m.dummy_prefix:
         steps.append(normalizers.Prepend(" "))
     if m.escape:
@@ -147,13 +154,36 @@ def backend(m: Model):
     # BPE merges a whole text as fast as its words, and never over a space then
     if m.kind == UNIGRAM and splits_at_spaces(m):
         t.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}*[^{MARK}]+|{MARK}+"), "isolated")
-    own = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
+    own = _unnamed(m) + [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
     t.decoder = decoders.Sequence(own + ([decoders.Strip(" ", 1, 0)] if m.dummy_prefix else []))
     if added := [AddedToken(p, normalized=False) for p, k in zip(m.pieces, m.types) if k == USER_DEFINED and MARK not in p]:
         t.add_tokens(added)
     return t
 
 
+def _unnamed(m: Model) -> list:
+    """Takes the space from the names that ``backend`` gives."""
+    from tokenizers import decoders
+
+    return [decoders.Strip(" ", 0, 1)] if m.kind == UNIGRAM else []
+
+
+def encoder(t, m: Model):
+    """A function from texts to the lists of their ids by ``t``."""
+    byte = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(m.pieces, m.types)) if k == BYTE}
+
+    def ids(texts: list[str]) -> list[list[int]]:
+        found = [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+        if m.kind == UNIGRAM and m.byte_fallback:
+            # only the slower call tells what an unknown piece is
+            some = [n for n, own in enumerate(found) if m.unk in own]
+            for n, e in zip(some, t.encode_batch([texts[n] for n in some], add_special_tokens=False)):
+                found[n] = [x for i, text in zip(e.ids, e.tokens) for x in ([byte[b] for b in text.encode()] if i == m.unk else [i])]
+        return found
+
+    return ids
+
+
 def restorer(t, m: Model):
     """A function from lists of ids that ``t`` encoded to their texts. What is
     encoded never spells a mark in bytes if the mark is a piece: then marks are
@@ -163,7 +193,7 @@ def restorer(t, m: Model):
 
     if (MARK, NORMAL) not in zip(m.pieces, m.types):
         return lambda ids: t.decode_batch(ids, skip_special_tokens=False)
-    t.decoder = decoders.Sequence([decoders.ByteFallback(), decoders.Fuse()])
+    t.decoder = decoders.Sequence(_unnamed(m) + [decoders.ByteFallback(), decoders.Fuse()])
 
     def texts(ids: list[list[int]]) -> list[str]:
         back = (x.replace(MARK, " ") for x in t.decode_batch(ids, skip_special_tokens=False))
@@ -176,11 +206,12 @@ def verify(data: bytes, texts: list[str]) -> None:
     """Raises unless ids and decoded texts equal the sentencepiece library's."""
     import sentencepiece
 
-    theirs, ours = sentencepiece.SentencePieceProcessor(model_proto=data), backend(parse(data))
-    for text, e in zip(texts, ours.encode_batch_fast(texts, add_special_tokens=False)):
+    m = parse(data)
+    theirs, ours = sentencepiece.SentencePieceProcessor(model_proto=data), backend(m)
+    for text, ids in zip(texts, encoder(ours, m)(texts)):
         want = theirs.encode(text)
-        if e.ids != want:
-            raise ValueError(f"ids differ on {text[:80]!r}: {e.ids[:20]}, not {want[:20]}")
+        if ids != want:
+            raise ValueError(f"ids differ on {text[:80]!r}: {ids[:20]}, not {want[:20]}")
         if ours.decode(want) != theirs.decode(want):
             raise ValueError(f"decoded texts differ on {text[:80]!r}")
 
@@ -222,7 +253,7 @@ def encode(docs: DataFrame, model: bytes | None = None, id_col: str = "doc_id",
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         parsed = parse(data)
         t, first = backend(parsed), True
-        texts_of = restorer(t, parsed)
+        texts_of, ids_of = restorer(t, parsed), encoder(t, parsed)
         plain = not parsed.charsmap and not parsed.extra_spaces and parsed.escape
         for b in batches:
             for at in range(0, b.num_rows, 256):
@@ -233,7 +264,7 @@ def encode(docs: DataFrame, model: bytes | None = None, id_col: str = "doc_id",
                     first = False
                 ids, same = [], []
                 for some in chunks(texts):
-                    found = [e.ids for e in t.encode_batch_fast(some, add_special_tokens=False)]
+                    found = ids_of(some)
                     back = texts_of(found)
                     ids += found
                     same += [x == (y if plain else t.normalizer.normalize_str(y).replace(MARK, " ")[int(parsed.dummy_prefix) :]) for x, y in zip(back, (s.replace(MARK, " ") for s in some))]

@@ -1,8 +1,9 @@
 """URL filters: a Bloom filter cascade gives exact membership without joins.
 
-A rule is a host and a path prefix. A url's candidate keys are its host and
-each parent domain, with each prefix of its path that is as long as some
-rule's. Of the candidates that are listed, the longest decides.
+A rule is a host and a path prefix. A url's candidate keys are the ends of its
+host that are as long as some rule's host and begin a label, each with each
+prefix of its path that is as long as some rule's. Of the candidates that are
+listed, the longest decides, of equally long ones that of the longest host.
 
 Level 0 of a cascade holds the listed keys; level 1 the keys of the corpus that
 level 0 wrongly passes; level 2 the listed keys that level 1 wrongly passes;
@@ -22,10 +23,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesselorn.llm.common import mixed
+from tesselorn.llm.common import fresh, mixed
 
-#: Rules above this number are refused: their filters would no longer be small.
-MAX_RULES = 50_000_000
+#: Rules above this number are refused: they are gathered on the driver, and
+#: their filters would no longer be small.
+MAX_RULES = 5_000_000
 
 
 def host(url: Column) -> Column:
@@ -40,13 +42,17 @@ def path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def candidates(host_col: Column, path_col: Column, lengths: list[int]) -> Column:
-    """The keys of rules that could fit, longest first."""
-    labels = F.split(host_col, r"\.", -1)
-    domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    fitting = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length(path_col))
-    pairs = F.flatten(F.transform(domains, lambda d: F.transform(fitting, lambda n: F.concat(d, F.substring(path_col, F.lit(1), n)))))
-    return F.reverse(F.array_sort(F.transform(pairs, lambda k: F.struct(F.length(k).alias("n"), k.alias("key")))))["key"]
+def candidates(host_col: Column, path_col: Column, hosts: list[int], paths: list[int]) -> Column:
+    """The keys of rules that could fit, longest first; ``hosts`` and ``paths``
+    are the lengths that rules have. A long host costs as much as it is long for
+    each length, however many labels it has."""
+    size = F.length(host_col)
+    begins = lambda n: (n == size) | ((n < size) & (F.substring(host_col, size - n, F.lit(1)) == "."))
+    domains = F.transform(F.filter(F.array(*[F.lit(n) for n in hosts]), begins), lambda n: F.right(host_col, n))
+    fitting = F.filter(F.array(*[F.lit(n) for n in paths]), lambda n: n <= F.length(path_col))
+    key = lambda d, n: F.struct((F.length(d) + n).alias("n"), F.length(d).alias("host"), F.concat(d, F.substring(path_col, F.lit(1), n)).alias("key"))
+    pairs = F.flatten(F.transform(domains, lambda d: F.transform(fitting, lambda n: key(d, n))))
+    return F.reverse(F.array_sort(pairs))["key"]
 
 
 def _bits(n: int, rate: float) -> tuple[int, int]:
@@ -105,7 +111,8 @@ def build(listed: DataFrame, universe: DataFrame, distinct: int) -> Cascade:
     """A cascade of the ``key`` column of ``listed`` that is exact over the
     ``key`` column of ``universe`` (repeats allowed, about ``distinct`` distinct
     keys). What level 0 wrongly passes is as many keys as are listed, about;
-    these and the listed keys come to the driver, nothing else does."""
+    these and the listed keys come to the driver, nothing else does. More than
+    ``MAX_RULES`` listed keys are an error."""
     cascade = Cascade()
     own = listed.where("key is not null").select("key").distinct().select("key", *_hashes(F.col("key"))).limit(MAX_RULES + 1).toPandas()
     if len(own) > MAX_RULES:
@@ -136,18 +143,20 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], url_col: str = "u
 
     ``rules``: (verdict, host, path prefix) with verdict allow or block. A rule
     fits its host and all subdomains if the url's path starts with its path; the
-    longest fitting rule decides, and is given as host + path. Without one, rule
-    is null and the verdict is the cascades': a url with no key on the block
-    list gets ``default``. Null and malformed urls have an empty host and path.
-    Columns of ``pages`` with the new names are replaced; repeated rows stay.
+    longest fitting rule decides, of equally long ones that of the longest host,
+    and is given as host + path. Without one, rule is null and the verdict is the
+    cascades': a url with no key on the block list gets ``default``. Null and
+    malformed urls have an empty host and path. Columns of ``pages`` with the new
+    names are replaced, all others stay; repeated rows stay; an empty table gives
+    an empty result. More than ``MAX_RULES`` rules of a verdict are an error.
     """
     names = {"allow": [h.lower() + p for v, h, p in rules if v == "allow"], "block": [h.lower() + p for v, h, p in rules if v == "block"]}
     if both := set(names["allow"]) & set(names["block"]):
         raise ValueError(f"both allowed and blocked: {sorted(both)}")
     spark = pages.sparkSession
-    lengths = sorted({len(p) for _, _, p in rules}) or [0]
+    hosts, paths = (sorted({len(r[i]) for r in rules}) or [0] for i in (1, 2))
     url = F.col(f"`{url_col}`")
-    keys = pages.select(F.explode(candidates(host(url), path(url), lengths)).alias("key"))
+    keys = pages.select(F.explode(candidates(host(url), path(url), hosts, paths)).alias("key"))
     distinct = keys.agg(F.approx_count_distinct("key")).first()[0]
     block, allow = (build(spark.createDataFrame([(k,) for k in names[v]], "key string"), keys, distinct) for v in ("block", "allow"))
 
@@ -159,10 +168,12 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], url_col: str = "u
         return pd.Series(np.split(found, np.cumsum(sizes)[:-1])) if len(sizes) else pd.Series([], dtype=object)
 
     second = lambda k: F.xxhash64(F.lit("second"), k)
+    own_keys, own_states, own_hit = fresh(pages, "_keys", "_states", "_hit")
     out = pages.withColumns({"host": host(url), "path": path(url)})
-    out = out.withColumn("_keys", candidates(F.col("host"), F.col("path"), lengths))
-    out = out.withColumn("_states", states(F.transform("_keys", lambda k: F.xxhash64(k)), F.transform("_keys", second)))
-    hit = F.expr("filter(arrays_zip(_keys, _states), x -> x._states > 0)")
-    out = out.withColumn("_hit", F.get(hit, F.lit(0)))
-    verdict = F.when(F.col("_hit._states") == 1, "block").when(F.col("_hit._states") == 2, "allow").otherwise(F.lit(default))
-    return out.withColumns({"rule": F.col("_hit._keys"), "verdict": verdict}).drop("_keys", "_states", "_hit")
+    out = out.withColumn(own_keys, candidates(F.col("host"), F.col("path"), hosts, paths))
+    out = out.withColumn(own_states, states(F.transform(own_keys, lambda k: F.xxhash64(k)), F.transform(own_keys, second)))
+    hit = F.filter(F.arrays_zip(own_keys, own_states), lambda x: x[own_states] > 0)
+    out = out.withColumn(own_hit, F.get(hit, F.lit(0)))
+    state = F.col(own_hit)[own_states]
+    verdict = F.when(state == 1, "block").when(state == 2, "allow").otherwise(F.lit(default))
+    return out.withColumns({"rule": F.col(own_hit)[own_keys], "verdict": verdict}).drop(own_keys, own_states, own_hit)

@@ -10,13 +10,13 @@ for each of its bytes, else a run of unknown characters counts one.
 
 The tokenizer splits a text before each run of word marks, and so does this:
 equal words have equal counts. The words of a batch are counted once each, all
-of a length class at the same time, as table look-ups over arrays.
+of a length class at the same time, as table look-ups over arrays of bounded
+size; a very long word goes by itself, in lists as long as it.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -26,6 +26,10 @@ from tesselorn.llm.common import batch
 from tesselorn.llm.pieces import BYTE, MARK, NORMAL, USER_DEFINED, Model, parse, read_model, splits_at_spaces
 
 UNKNOWN_LESS = 10.0
+#: Cells of an array (words by bytes of the longest) that are counted at once.
+AREA = 400_000
+#: So few words of a part, or fewer, are counted one by one.
+LONE = 4
 
 
 class Automaton:
@@ -76,11 +80,44 @@ class Automaton:
         sizes = np.array([len(w) for w in words], np.int64)
         out = np.zeros(len(words), np.int64)
         order = np.argsort(sizes, kind="stable")
-        for part in np.array_split(order, max(1, -(-int(sizes.sum()) // 400_000))):
-            if len(part):
-                out[part] = self._counts([words[i] for i in part], sizes[part])
+        own, at = sizes[order], 0
+        while at < len(order):
+            # as many words as make an array of AREA at most; their greatest size is the last's
+            end = at + int(np.searchsorted((own[at:] + 1) * np.arange(1, len(own) - at + 1), AREA, side="right"))
+            if end - at <= LONE:
+                end = at + 1
+                out[order[at]] = self._one(words[order[at]])
+            else:
+                out[order[at:end]] = self._counts([words[i] for i in order[at:end]], own[at:end])
+            at = end
         return out
 
+    def _one(self, word: bytes) -> int:
+        """The same for one word, without arrays."""
+        best, count, lone = [0.0], [0], [False]
+        state, since, n = 0, 0, len(word)
+        ends: dict[int, list] = {}
+        for j in range(1, n + 1):
+            b = word[j - 1]
+            state = int(self.next[state, b])
+            if b & 0xC0 != 0x80:
+                since = j - 1
+            if state not in ends:
+                ends[state] = list(zip(self.length[state, : self.kinds[state]].tolist(), self.score[state, : self.kinds[state]].tolist()))
+            top, pieces, is_lone, single = -np.inf, 0, False, False
+            if j == n or word[j] & 0xC0 != 0x80:
+                for size, score in ends[state]:
+                    single |= j - size == since
+                    if best[j - size] + score > top:
+                        top, pieces = best[j - size] + score, count[j - size] + 1
+                if not single and best[since] + self.unknown > top:
+                    top, is_lone = best[since] + self.unknown, True
+                    pieces = count[since] + (j - since if self.bytes else 1 - lone[since])
+            best.append(top)
+            count.append(pieces)
+            lone.append(is_lone)
+        return count[n]
+
     def _counts(self, words: list[bytes], sizes: np.ndarray) -> np.ndarray:
         n, longest = len(words), int(sizes[-1])
         text = np.zeros((longest, n), np.uint8)
@@ -134,6 +171,11 @@ def segments(texts: pa.Array, m: Model) -> tuple[pa.Array, np.ndarray]:
     """The words that the tokenizer encodes apart, with their marks, of all
     texts; and how many each text has."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "").take(pa.array(np.arange(len(texts))))
+    if m.charsmap:
+        from tokenizers import normalizers
+
+        mapped = normalizers.Precompiled(m.charsmap)
+        texts = pa.array([mapped.normalize_str(t) for t in texts.to_pylist()], pa.large_string())
     if m.extra_spaces:
         texts = pc.replace_substring_regex(pc.utf8_trim(texts, " "), " +", " ")
     if m.dummy_prefix:
@@ -154,17 +196,15 @@ def segments(texts: pa.Array, m: Model) -> tuple[pa.Array, np.ndarray]:
 
 def token_counts(docs: DataFrame, model: bytes | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens) for each row: pieces of the whole text. Null and empty
-    texts have none. Repeated rows give repeated rows. The model's pieces and
+    texts have none. Repeated rows give repeated rows; other columns are not
+    looked at; an empty table gives an empty result. The model's pieces and
     scores are read as a unigram vocabulary."""
     data = model if model is not None else read_model()
     m = parse(data)
-    if m.charsmap:
-        raise ValueError("models with a character map are not counted here")
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64())])
 
     def fold(batches):
         automaton = Automaton(m)
-        known = pd.Series([], dtype=np.int64)
         for b in batches:
             for at in range(0, b.num_rows, 2000):
                 part = b.slice(at, 2000)

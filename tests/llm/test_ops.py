@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import struct
 import time
 import zlib
 from collections import Counter
@@ -97,6 +98,19 @@ def test_url_filter(spark):
     assert {r.verdict for r in urlfilter.judge(pages, []).collect()} == {"allow"}
 
 
+def test_url_filter_long_hosts_ties_and_clashes(spark):
+    rules = [("block", "x.net", "/"), ("allow", "net", "/ab"), ("block", "a.b.c", "/")]
+    host = ".".join("x" * 1 for _ in range(50_000)) + ".net"
+    urls = ["http://x.net/abc", "http://y.x.net/abc", "http://net/abc", f"http://{host}/ab", "http://" + "a." * 50_000 + "b.c/"]
+    pages = spark.createDataFrame([(i, u, 1, 2, 3) for i, u in enumerate(urls)], "page_id long, url string, _keys int, _states int, _hit int")
+    began = time.time()
+    got = {r.page_id: r for r in urlfilter.judge(pages, rules).collect()}
+    assert time.time() - began < 30
+    assert [got[i].rule for i in range(5)] == ["x.net/", "x.net/", "net/ab", "x.net/", "a.b.c/"]
+    assert [got[i].verdict for i in range(5)] == ["block", "block", "allow", "block", "block"]
+    assert all((r._keys, r._states, r._hit) == (1, 2, 3) for r in got.values())
+
+
 def test_cascade_is_exact(spark):
     listed = [f"key{i}" for i in range(0, 3000, 10)]
     universe = spark.createDataFrame([(f"key{i}",) for i in range(3000)] + [(None,)], "key string")
@@ -498,7 +512,7 @@ def test_viterbi_equals_the_tokenizer(model):
     count = ours.counts([w.encode() for w in found.to_pylist()])
     ends = np.cumsum(sizes)
     got = [int(count[e - s : e].sum()) for e, s in zip(ends, sizes)]
-    assert got == [len(e.ids) for e in theirs.encode_batch(texts, add_special_tokens=False)]
+    assert got == [len(ids) for ids in pieces.encoder(theirs, m)(texts)]
 
 
 def test_viterbi_ties_and_unknown_runs():
@@ -525,6 +539,69 @@ def test_viterbi_ties_and_unknown_runs():
     assert a.counts([w.encode() for w in some]).tolist() == [by_hand(w) for w in some]
 
 
+def proto(number, value):
+    """A field of a protobuf message."""
+    def varint(n):
+        out = b""
+        while n > 127:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    if isinstance(value, int):
+        return varint(number << 3) + varint(value)
+    if isinstance(value, float):
+        return varint(number << 3 | 5) + struct.pack("<f", value)
+    return varint(number << 3 | 2) + varint(len(value)) + value
+
+
+def unigram_model(fallback, charsmap=b"", extra_spaces=False):
+    """A small true unigram model, with many ways to cut a word and ties."""
+    some = ["\u2581", "a", "b", "c", "d", "e", "ab", "ba", "abc", "cd", "de", "cde", "\u2581a", "\u2581ab", "\u2581th", "th", "he", "the", "\u2581the", "\u00e9", "1", "2", "12", "t", "h", "o", "f"]
+    rng = random.Random(4)
+    pieces_ = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)]
+    pieces_ += [(f"<0x{i:02X}>", 0.0, 6) for i in range(256)] * fallback
+    pieces_ += [(p, -2.0 * len(p) if len(p) > 1 and i % 2 else -rng.choice([2, 3, 4.5, 5.25]), 1) for i, p in enumerate(some)]
+    body = b"".join(proto(1, proto(1, p.encode()) + proto(2, float(s)) + proto(3, t)) for p, s, t in pieces_)
+    trainer = proto(3, 1) + proto(35, int(fallback)) + proto(40, 0) + proto(41, 1) + proto(42, 2) + proto(43, (1 << 64) - 1)
+    normal = proto(2, charsmap) + proto(3, 1) + proto(4, int(extra_spaces)) + proto(5, 1)
+    return body + proto(2, trainer) + proto(3, normal)
+
+
+def charsmap():
+    import sentencepiece
+
+    n = sentencepiece.SentencePieceNormalizer(rule_name="nfkc")
+    return next(v for k, v in pieces._fields(dict(pieces._fields(n.serialized_model_proto()))[3]) if k == 2)
+
+
+@pytest.mark.parametrize("fallback", [True, False])
+@pytest.mark.parametrize(("mapped", "extra"), [(False, False), (True, True)])
+def test_true_unigram_models(docs_of, fallback, mapped, extra):
+    """Counts and ids against the sentencepiece library itself."""
+    import sentencepiece
+
+    data = unigram_model(fallback, charsmap() if mapped else b"", extra)
+    theirs = sentencepiece.SentencePieceProcessor(model_proto=data)
+    rng = random.Random(6)
+    texts = ["".join(rng.choices(["a", "b", "c", "d", "e", "the", " ", "  ", "\u00e9", "z", "q", "12", "\u65e5"], k=rng.randint(0, 30))) for _ in range(300)]
+    texts += ["", " ", "the the", "abcde" * 200, "\ufb01 \u2460", "zzzz", " z z ", "a" * 3000]
+    rows = list(enumerate(texts)) + [(9999, None)]
+    want = {i: theirs.encode(t or "") for i, t in rows}
+    assert {r.doc_id: r.ids for r in pieces.encode(docs_of(rows), data).collect()} == want
+    assert {r.doc_id: r.n_tokens for r in viterbi.token_counts(docs_of(rows), data).collect()} == {i: len(x) for i, x in want.items()}
+
+
+def test_viterbi_one_by_one_and_together():
+    """The same counts from arrays and word by word; bounded arrays."""
+    m = pieces.parse(unigram_model(True))
+    a, rng = viterbi.Automaton(m), random.Random(9)
+    some = ["".join(rng.choices("abcde\u00e9zth", k=rng.randint(1, 40))).encode() for _ in range(200)]
+    assert a.counts(some).tolist() == [a._one(w) for w in some]
+    began = time.time()
+    a.counts([*some, b"abcde" * 200_000, "\u65e5".encode() * 100_000])
+    assert time.time() - began < 40
+
+
 def test_token_counts_query(docs):
     got = viterbi.token_counts(docs)
     assert got.count() == len(corpus())
