@@ -140,6 +140,85 @@ def test_interpolation(docs):
     assert interpolation.score(docs.limit(0)).count() == 0
 
 
+def scores_by_hand(rows, order):
+    """The model written out: counts, buckets, expectation-maximisation, scores."""
+    def grams(texts):
+        c = [Counter() for _ in range(order + 1)]
+        for t in texts:
+            for p in range(len(t)):
+                for k in range(1, order + 1):
+                    c[k][tuple(t[p - k + 1 + j] if p - k + 1 + j >= 0 else "start" for j in range(k))] += 1
+        return c
+
+    def of(t, p, k, c, n):
+        """Counts of the k-gram that ends at p, and of its history."""
+        gram = tuple(t[p - k + 1 + j] if p - k + 1 + j >= 0 else "start" for j in range(k))
+        before = tuple(t[p - k + 1 + j] if p - k + 1 + j >= 0 else "start" for j in range(k - 1))
+        return c[k][gram], (n if p == 0 else c[k - 1][before])
+
+    def facts(t, p, c, n):
+        total, kinds = sum(c[1].values()), len(c[1])
+        found = [of(t, p, k, c, n) for k in range(2, order + 1)]
+        ps = [1 / (kinds + 1), c[1][t[p],] / max(total, 1), *(x / h if h else 0 for x, h in found)]
+        return tuple(int(math.log2(h + 1)) for _, h in found), ps
+
+    texts = [(i, [*words(t), None]) for i, t in rows]
+    crc = lambda i: zlib.crc32(str(i).encode() if i is not None else b"")
+    train = [(i, t) for i, t in texts if crc(i) % 5 != 1]
+    held = [t for i, t in train if crc(i) // 5 % interpolation.HELD == 0]
+    kept = [t for i, t in train if crc(i) // 5 % interpolation.HELD]
+    c = grams(kept)
+    seen = {}
+    for t in held:
+        for p in range(len(t)):
+            b, ps = facts(t, p, c, len(kept))
+            seen.setdefault(b, []).append(ps)
+    weights = {}
+    for b, all_ps in seen.items():
+        can = [k < 2 or max(ps[k] for ps in all_ps) > 0 for k in range(order + 1)]
+        weights[b] = [x / sum(can) for x in can]
+    while weights:
+        moved = 0
+        for b, all_ps in seen.items():
+            e = [0.5 * (k < 2) for k in range(order + 1)]
+            for ps in all_ps:
+                total = sum(w * p for w, p in zip(weights[b], ps))
+                e = [x + w * p / total for x, w, p in zip(e, weights[b], ps)]
+            new = [x / sum(e) for x in e]
+            moved = max(moved, *(abs(x - y) for x, y in zip(new, weights[b])))
+            weights[b] = new
+        if moved < interpolation.MOVED:
+            break
+    number = lambda b: sum(x * 64**i for i, x in enumerate(b))
+    c = grams([t for _, t in train])
+    out = []
+    for i, t in texts:
+        score = 0.0
+        for p in range(len(t)):
+            b, ps = facts(t, p, c, len(train))
+            near = [x for x in weights if [y > 0 for y in x] == [y > 0 for y in b]]
+            w = weights.get(b) or (weights[min(near, key=lambda x: (abs(number(x) - number(b)), number(x)))] if near else [0.5, 0.5] + [0] * (order - 1))
+            score += math.log10(sum(x * y for x, y in zip(w, ps)))
+        out.append((i, len(t), score))
+    return out
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_interpolation_scores_by_hand(docs_of, order):
+    rows = corpus(150)
+    got = sorted((str(r.doc_id), r.n_tokens, r.score) for r in interpolation.score(docs_of(rows).repartition(3), order=order).collect())
+    want = sorted((str(i), n, s) for i, n, s in scores_by_hand(rows, order))
+    assert [x[:2] for x in got] == [x[:2] for x in want]
+    assert [x[2] for x in got] == pytest.approx([x[2] for x in want], rel=1e-6)
+
+
+def test_interpolation_small_corpora(docs_of):
+    """Null texts alone, one document, a very long text, at order 3."""
+    for rows in ([(1, None), (2, None), (None, None)], [(7, "one two three")], [(i, "a b " * 100_000) for i in range(3)]):
+        got = interpolation.score(docs_of(rows).withColumn("order", F.lit(1)), order=3).collect()
+        assert len(got) == len(rows) and all(r.score < 0 and r.n_tokens == len(words(dict(rows)[r.doc_id])) + 1 for r in got)
+
+
 def test_interpolation_probabilities_sum_to_one(docs):
     """Over the whole vocabulary and one unknown word, after any history."""
     got = interpolation.blocks(docs, "doc_id", "text")
