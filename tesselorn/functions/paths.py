@@ -69,6 +69,10 @@ def gen_zip_name(gen: int, date: str) -> str:
     return f"gen-{gen}-{date}.zip"
 
 
+def undated_zip_path(gen: int, folder: str) -> str:
+    return f"{folder}/gen-{gen}.zip"
+
+
 def mega_name(date: str) -> str:
     return f"corpus-all-{date}.tar.xz"
 

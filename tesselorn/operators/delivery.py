@@ -12,6 +12,9 @@ from tesselorn.functions import paths
 from tesselorn.functions.fixed import BODY_VERSION, GENS_SCHEMA, WINDOW
 
 QUALITY = 11
+# How a frame and its name are found in a text.
+FRAME = r"(?s)<flame\b.*?</flame>"
+FRAME_NAME = r'<flame\b[^>]*\bname="([^"]*)"'
 
 
 def brotli(data: bytes) -> bytes:
@@ -55,6 +58,16 @@ def pack_ids(ids: list[int]) -> bytes:
     return brotli(varints([b - a for a, b in zip([0, *own], own)]))
 
 
+def pack_ascending(ids) -> bytes:
+    """The same of ids that come ascending and distinct, one at a time: about a
+    byte an id is held."""
+    out, before = bytearray(), 0
+    for i in ids:
+        out += varints([i - before])
+        before = i
+    return brotli(bytes(out))
+
+
 def unpack_ids(data: bytes) -> list[int]:
     out, n = [], 0
     for d in from_varints(unbrotli(data)):
@@ -80,14 +93,22 @@ def readable(raw: DataFrame) -> DataFrame:
     return ok.withColumn("xml", F.regexp_replace(F.col("content").cast("string"), "\r\n?", "\n"))
 
 
+#: Ids of a stretch whose deltas one task computes.
+STRETCH = 1_000_000
+
+
 def deltas(ids: DataFrame) -> DataFrame:
     """(gen, sheep_id, delta) of distinct ids: difference from the one before.
-    A generation's ids meet by window order only; they are numbers."""
+    A generation is cut in stretches of numbers, so no task has it whole; the
+    last id of the stretch before, a row each, is joined."""
     from pyspark.sql import Window
 
-    own = ids.select("gen", "sheep_id").distinct()
-    before = F.lag("sheep_id", 1, 0).over(Window.partitionBy("gen").orderBy("sheep_id"))
-    return own.withColumn("delta", F.col("sheep_id") - before)
+    own = ids.select("gen", "sheep_id").distinct().withColumn("_part", F.floor(F.col("sheep_id") / STRETCH))
+    ends = own.groupBy("gen", "_part").agg(F.max("sheep_id").alias("_last"))
+    ends = ends.select("gen", "_part", F.lag("_last", 1, 0).over(Window.partitionBy("gen").orderBy("_part")).alias("_before"))
+    before = F.lag("sheep_id").over(Window.partitionBy("gen", "_part").orderBy("sheep_id"))
+    cut = own.withColumn("_lag", before).join(ends, ["gen", "_part"])
+    return cut.select("gen", "sheep_id", (F.col("sheep_id") - F.coalesce("_lag", "_before")).alias("delta"))
 
 
 def windows(texts: DataFrame) -> DataFrame:
@@ -140,7 +161,13 @@ def listed(lists: DataFrame) -> DataFrame:
 
 def gens_json(generations: list[dict], build_date: str, kind: str = "all") -> str:
     own = [{k: g[k] for k in ("gen", "count", "min_id", "max_id")} for g in sorted(generations, key=lambda g: g["gen"])]
-    return json.dumps({"schema": GENS_SCHEMA, "build_date": build_date, "chunk_size": WINDOW, "kind": kind, "gens": own}, indent=2) + "\n"
+    return json.dumps({"schema": GENS_SCHEMA, "build_date": build_date, "chunk_size": WINDOW, "kind": kind, "gens": own}, ensure_ascii=False)
+
+
+def classification(spark, path: str) -> DataFrame:
+    """(gen, sheep_id, kind) of an index file's genomes and animations."""
+    index = spark.read.json(path, multiLine=True, schema="genomes array<struct<gen: int, sheep_id: long, kind: string>>")
+    return index.select(F.inline("genomes")).where("kind in ('genome', 'animation')")
 
 
 def served(raw: DataFrame, records: DataFrame) -> DataFrame:
@@ -151,7 +178,7 @@ def served(raw: DataFrame, records: DataFrame) -> DataFrame:
     kinds = records.select("gen", "sheep_id", "kind")
     own = text.join(kinds.where("kind = 'genome'"), ["gen", "sheep_id"], "left_semi").select("gen", "sheep_id", "xml")
     moving = text.join(kinds.where("kind = 'animation'"), ["gen", "sheep_id"], "left_semi")
-    frames = moving.select("gen", F.col("sheep_id").alias("source"), F.posexplode(F.regexp_extract_all("xml", F.lit(r"(?s)<flame\b.*?</flame>"), F.lit(0))).alias("nth", "frame"))
-    named = frames.withColumn("sheep_id", paths.keyframe_id(F.regexp_extract("frame", r'<flame\b[^>]*\bname="([^"]*)"', 1))).where("sheep_id is not null")
+    frames = moving.select("gen", F.col("sheep_id").alias("source"), F.posexplode(F.regexp_extract_all("xml", F.lit(FRAME), F.lit(0))).alias("nth", "frame"))
+    named = frames.withColumn("sheep_id", paths.keyframe_id(F.regexp_extract("frame", FRAME_NAME, 1))).where("sheep_id is not null")
     orphans = named.join(own, ["gen", "sheep_id"], "left_anti").groupBy("gen", "sheep_id").agg(F.min_by("frame", F.struct("source", -F.col("nth"))).alias("xml"))
     return own.unionByName(orphans)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 import time
 from collections.abc import Callable
@@ -77,10 +78,62 @@ def imported(source: DataFrame, corpus: DataFrame, gen: int | None = None) -> Da
     return source.join(corpus.select("gen", "sheep_id"), ["gen", "sheep_id"], "left_anti")
 
 
-def missing_ids(spark: SparkSession, path: str, gen: int) -> DataFrame:
-    """(gen, sheep_id) of a missing list: a number a line, blank lines apart."""
-    lines = spark.read.text(path).select(F.trim("value").alias("v")).where("v <> ''")
-    return lines.select(F.lit(gen).alias("gen"), F.col("v").cast("long").alias("sheep_id")).distinct()
+def missing_lists(spark: SparkSession, found: list[str]) -> DataFrame:
+    """(gen, sheep_id) of missing lists: a number a line, blank lines apart; the
+    generation is the folder's name. No list is an empty one."""
+    if not found:
+        return spark.createDataFrame([], "gen int, sheep_id long")
+    lines = spark.read.text(found).select(F.trim("value").alias("v"), F.element_at(F.split(F.input_file_name(), "/"), -2).cast("int").alias("gen"))
+    return lines.where("v <> ''").select("gen", F.col("v").cast("long").alias("sheep_id")).distinct()
+
+
+class Absences:
+    """One generation's missing list, held by whoever fetches: a file of numbers."""
+
+    def __init__(self, path: str | Path):
+        self.path, self.ids = Path(path), set()
+
+    def load(self) -> Absences:
+        self.ids = {int(x) for x in self.path.read_text().split()} if self.path.exists() else set()
+        return self
+
+    def __contains__(self, sheep_id: int) -> bool:
+        return sheep_id in self.ids
+
+    def __len__(self) -> int:
+        return len(self.ids)
+
+    def add(self, sheep_id: int) -> None:
+        self.ids.add(sheep_id)
+
+    def text(self) -> str:
+        return "".join(f"{i}\n" for i in sorted(self.ids))
+
+    def save(self) -> None:
+        atomic(self.path, self.text().encode())
+
+
+def atomic(path: str | Path, data: bytes) -> None:
+    """Writes a file whole or not at all."""
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    Path(f"{path}.tmp").write_bytes(data)
+    os.replace(f"{path}.tmp", path)
+
+
+ATTRIBUTION = "# Attribution\n\nThe documents in this folder are works of their designers; see the licence of their source.\n"
+
+
+def initialise(root: str) -> None:
+    """Makes a corpus folder with a note of attribution, unless it has one."""
+    note = Path(root) / "ATTRIBUTION.md"
+    if not note.exists():
+        atomic(note, ATTRIBUTION.encode())
+
+
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """(id, sha256, file_size_bytes, ...) of a manifest file, by its header."""
+    rows = spark.read.csv(path, header=True, escape='"', multiLine=True)
+    return rows.withColumns({"id": F.col("id").cast("long"), "file_size_bytes": F.col("file_size_bytes").cast("long")})
 
 
 def sidecar_ids(spark: SparkSession, path: str, gen: int) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import os
+import shutil
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,14 +56,51 @@ def counts(present: DataFrame, missing: DataFrame) -> DataFrame:
     return own.join(gone, "gen", "full_outer").select("gen", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("loose_count", "missing_count", "bucket_count")])
 
 
-def baseline_json(counted: DataFrame, schema: str) -> str:
-    """A baseline's text: a row for each generation, ascending."""
+# The file of a chunked corpus's baseline, and its schema.
+BASELINE, BASELINE_SCHEMA = "_chunked-verified.json", "v0.4"
+
+
+def baseline_json(counted: DataFrame) -> str:
+    """A baseline's text: a row for each generation, ascending; keys by name."""
     gens = [r.asDict() for r in counted.orderBy("gen").toLocalIterator()]
-    return json.dumps({"schema": schema, "gens": gens}, indent=2) + "\n"
+    return json.dumps({"schema": BASELINE_SCHEMA, "gens": gens}, indent=2, sort_keys=True) + "\n"
 
 
-def baseline(spark: SparkSession, path: str) -> DataFrame | None:
-    """A recorded baseline's counts; None where none was recorded, which is no drift."""
-    if not Path(path).exists():
+def baseline(spark: SparkSession, root: str) -> DataFrame | None:
+    """A corpus's recorded counts; None where none were recorded, which is no drift."""
+    path = Path(root) / BASELINE
+    if not path.exists():
         return None
-    return spark.read.json(path, multiLine=True).select(F.inline("gens"))
+    # Spark's readers pass over names that begin with an underscore
+    names = ["gen", "loose_count", "missing_count", "bucket_count"]
+    rows = [tuple(int(g[n]) for n in names) for g in json.loads(path.read_text())["gens"]]
+    return spark.createDataFrame(rows, "gen int, loose_count long, missing_count long, bucket_count long")
+
+
+def migrate(spark: SparkSession, root: str) -> DataFrame:
+    """Moves documents to their buckets, as ``moves`` has it: a copy at its target
+    wins, superseded ones go, as do folders that nothing but a desktop's marks
+    remain in. Gives ``move_counts``; a second run moves nothing."""
+    at = Path(root)
+    if not at.is_dir():
+        raise FileNotFoundError(f"no corpus: {root}")
+    files = [(str(f.relative_to(at)),) for f in sorted(at.rglob("*.flam3")) if f.relative_to(at).parts[0].isdigit()]
+    moved = moves(spark.createDataFrame(files, "path string")).persist()
+    for r in moved.where("action <> 'keep'").orderBy("action", "path").toLocalIterator():  # move comes before superseded
+        old = at / r["path"]
+        if r["action"] == "move":
+            (at / r["target"]).parent.mkdir(parents=True, exist_ok=True)
+            os.replace(old, at / r["target"])
+        else:
+            old.unlink()
+    for folder in {(at / r["path"]).parent for r in moved.where("action <> 'keep'").select("path").collect()}:
+        if removable(folder):
+            shutil.rmtree(folder)
+    out = spark.createDataFrame(move_counts(moved).collect(), "gen int, moved long, already_chunked long, superseded long, bucket_count long")
+    moved.unpersist()
+    return out
+
+
+def removable(folder: Path) -> bool:
+    """Whether a bucket is empty but for a desktop's marks, and is no generation."""
+    return not folder.name.isdigit() and all(p.name == ".DS_Store" for p in folder.iterdir())
