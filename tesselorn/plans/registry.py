@@ -29,8 +29,8 @@ def _missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _of(fold):
-    """A query of index records."""
-    return lambda spark, sf_dir: fold(synth.records(spark, sf_dir))
+    """A query of index records, from their table."""
+    return lambda spark, sf_dir: fold(synth.stored_records(spark, sf_dir))
 
 
 def _hashed(texts: DataFrame) -> DataFrame:

@@ -4,12 +4,15 @@ every feature must be."""
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tesselorn.functions import paths
+from tesselorn.functions import fixed, lenient, paths
 from tesselorn.functions.fixed import FILE_PREFIX, VARIATIONS
 from tesselorn.operators import features, parse
+from tesselorn.sources import shared
 from tesselorn.sources.tables import table
 
 NAMES = "array(" + ",".join(f"'{v}'" for v in VARIATIONS) + ")"
@@ -63,6 +66,15 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.records(parse.parsed(documents(spark, sf_dir))).withColumn("scan_seq", paths.scan_key(F.col("gen"), F.col("sheep_id")))
 
 
+def stored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a table, made once for each state of the tables and of the
+    code that makes it; files are sorted, so that look-ups by kind and id skip pages."""
+    code = "".join(Path(m.__file__).read_text() for m in (features, parse, paths, fixed, lenient)) + Path(__file__).read_text()
+    key = " ".join([code, *(shared.state(spark, f"{sf_dir}/{t}.parquet") for t in ("orders", "lineitem"))])
+    # sorted within files only: dealing to ranges would parse everything once more, for a sample
+    return shared.kept(spark, "records", key, lambda: records(spark, sf_dir).sortWithinPartitions("kind", "id"))
+
+
 def first_wins(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
     """The first row of each key."""
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
