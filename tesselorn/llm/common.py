@@ -2,32 +2,16 @@
 
 from __future__ import annotations
 
-import atexit
 import uuid
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_made: list[tuple[SparkSession, str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's
-    ``spark.checkpoint.dir``. Where it is unset (tests) a folder of our own, but
-    only if driver and executors are one process; else an error."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found and spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        found = spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    if not found:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("spark.checkpoint.dir is not set: executors would share no folder")
-        found = f"/tmp/tesselorn-{spark.sparkContext.applicationId}"
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
+from tesselorn.sources.shared import remove, remove_at_exit, shared_dir
 
 
 def written(df: DataFrame, codec: str = "zstd", by: str | None = None) -> DataFrame:
@@ -38,7 +22,7 @@ def written(df: DataFrame, codec: str = "zstd", by: str | None = None) -> DataFr
     path = f"{shared_dir(spark)}/tesselorn-{uuid.uuid4().hex}"
     write = df.write.option("compression", codec)
     (write.partitionBy(by) if by else write).parquet(path)
-    _made.append((spark, path))
+    remove_at_exit(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tesselorn_path = path
     return out
@@ -47,22 +31,7 @@ def written(df: DataFrame, codec: str = "zstd", by: str | None = None) -> DataFr
 def drop(*tables: DataFrame) -> None:
     """Removes tables of ``written`` that nothing reads any more."""
     for t in tables:
-        _remove(t.sparkSession, t._tesselorn_path)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
-@atexit.register
-def _remove_all() -> None:
-    for spark, path in _made:
-        try:
-            _remove(spark, path)
-        except Exception:  # noqa: BLE001 - the session may have ended already
-            return
+        remove(t.sparkSession, t._tesselorn_path)
 
 
 #: Rows of a key from which on a join deals them to several tasks.
