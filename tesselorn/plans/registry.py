@@ -143,11 +143,10 @@ def page_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse.checked(pages).select("page_id", "valid")
 
 
-RECORD = "id gen sheep_id byte_size kind valid frame_count error xform_count has_final_xform symmetry_kind negative_weight_xforms max_var_per_xform max_xform_weight max_abs_affine_coef xform_count_post_symmetry has_nan_in_xforms has_nan_camera has_hyper_trig".split()
-
-
 def index_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return synth.records(spark, sf_dir).select(*RECORD, F.array_join("variations", ",").alias("variations"))
+    """Every field of the index; arrays as joined texts."""
+    r = synth.records(spark, sf_dir).drop("scan_seq")
+    return r.select(*[F.array_join(F.transform(f.name, lambda x: x.cast("string")), ",").alias(f.name) if f.dataType.typeName() == "array" else f.name for f in r.schema.fields])
 
 
 def genome_only_served(spark: SparkSession, sf_dir: str) -> DataFrame:

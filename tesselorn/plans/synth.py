@@ -25,13 +25,15 @@ def _text(*parts) -> Column:
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(gen, sheep_id, content, sealed): see the expressions for the mapping."""
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
-    v1, v2 = f"element_at({NAMES}, int(l_partkey % 101) + 1)", f"element_at({NAMES}, int(l_suppkey % 101) + 1)"
+    # one to six variations: two by part and supplier, and more for some parts
+    more = "case l_partkey % 13 when 0 then array(11) when 1 then array(11, 23, 37, 59) else array() end"
+    numbers = f"array_distinct(transform(concat(array(l_partkey, l_suppkey), transform({more}, d -> l_partkey + d)), x -> int(x % 101) + 1))"
+    items = items.withColumn("numbers", F.expr(numbers))
     xform = _text(
         "concat('<xform weight=\"', int(l_quantity) - 10, '\" color=\"0\" coefs=\"', if(l_orderkey % 53 = 0, 'nan', string(l_linenumber)), ' 0 0 ', l_partkey % 12, ' 0 0\"')",
         "case l_partkey % 3 when 0 then ' post=\"0.5 0 0 1 0 0\"' when 1 then ' post=\"1 0 0 1 0 0\"' else '' end",
         "if(l_returnflag = 'R', ' chaos=\"1 0\"', '')",
-        f"concat(' ', {v1}, '=\"1\"')",
-        f"if(l_partkey % 101 = l_suppkey % 101, '', concat(' ', {v2}, '=\"0.5\"'))",
+        f"array_join(transform(numbers, (x, i) -> concat(' ', element_at({NAMES}, x), '=\"', if(i = 0, '1', '0.5'), '\"')), '')",
         "' julian_power=\"2\"/>'",
     )
     xforms = items.withColumn("x", xform).groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "x")))["x"], "").alias("xforms"))
@@ -40,25 +42,27 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     flame = _text(
         f"concat('<flame name=\"{FILE_PREFIX}.', 240 + o_orderkey % 10, '.', o_orderkey, '\"')",
         "if(o_custkey % 2 = 0, concat(' nick=\"', o_orderpriority, '\"'), '')",
-        "if(o_custkey % 5 = 0, '', concat(' version=\"V-', o_orderstatus, '\"'))",
+        "if(o_custkey % 5 = 0, '', concat(' version=\"V-', o_orderstatus, o_custkey % 7, '\"'))",
         "if(o_custkey % 3 = 0, ' gamma=\"3.5\"', '')", "if(o_custkey % 4 = 0, ' vibrancy=\"0.5\"', '')",
         "if(o_custkey % 3 = 1, ' palette_mode=\"linear\"', '')", "if(o_custkey % 6 = 0, ' background=\"0 0 0.5\"', '')",
         "concat(' rotate=\"', (o_custkey % 4) * 10, '\" supersample=\"', 1 + o_custkey % 2, '\"')",
         "if(o_custkey % 7 = 0, ' highlight_power=\"1\"', '')", "if(o_custkey % 8 = 0, ' filter_shape=\"bell\"', '')",
         "if(o_custkey % 9 = 0, ' estimator_radius=\"9\"', '')", "if(o_custkey % 10 = 0, ' estimator_minimum=\"1\" estimator_curve=\"0.6\"', '')",
         "if(o_orderkey % 59 = 0, ' center=\"0 NaN\"', '')", "'>'",
-        "if(o_orderkey % 7 = 6, '', concat('<symmetry kind=\"', o_orderkey % 7 - 3, '\"/>'))", "xforms",
+        "if(o_orderkey % 7 = 6, '', concat('<symmetry kind=\"', if(o_orderkey % 97 = 5, 70, o_orderkey % 7 - 3), '\"/>'))", "xforms",
         f"if(o_orderkey % 2 = 0, concat('<finalxform coefs=\"1 0 0 1 0 0\" ', element_at({NAMES}, int(o_custkey % 101) + 1), '=\"1\"/>'), '')",
         "'</flame>'",
     )
     content = F.expr("""case o_orderkey % 20
-        when 0 then repeat(flame, int(2 + o_orderkey % 3)) when 1 then '' when 2 then concat(flame, ' tail') when 3 then 'none'
-        when 4 then '<html><body>x</body></html>' when 5 then concat('<get>', flame, '</get>')
+        when 0 then repeat(flame, int(case when o_orderkey % 2000 = 0 then 600 when o_orderkey % 1000 = 0 then 150 when o_orderkey % 400 = 0 then 70 when o_orderkey % 100 = 0 then 20 else 2 + o_orderkey % 3 end))
+        when 1 then '' when 2 then concat(flame, ' tail') when 3 then 'none'
+        when 4 then concat('<t', o_orderkey % 17, '><body>x</body></t', o_orderkey % 17, '>') when 5 then concat('<get>', flame, '</get>')
         else concat(if(o_orderkey % 2 = 0, '<?xml version="1.0"?>', ''), flame) end""")
+    not_utf8 = F.expr("if(o_orderkey % 20 = 2 and o_orderkey % 3 = 0, X'FF', X'')")
     # few bytes, much work: without this one small file would be parsed by one task
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     both = both.repartition(tasks, "o_orderkey")
-    return both.withColumn("flame", flame).select((240 + F.col("o_orderkey") % 10).cast("int").alias("gen"), F.col("o_orderkey").alias("sheep_id"), content.cast("binary").alias("content"), F.lit(False).alias("sealed"))
+    return both.withColumn("flame", flame).select((240 + F.col("o_orderkey") % 10).cast("int").alias("gen"), F.col("o_orderkey").alias("sheep_id"), F.concat(content.cast("binary"), not_utf8).alias("content"), F.lit(False).alias("sealed"))
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
