@@ -10,7 +10,7 @@ import numpy as np
 
 WORD_BITS = 18
 # Fixed order of the structure statistics.
-STRUCTURE = ["log words", "log chars a word", "upper case", "digits", "marks", "distinct words", "commonest word", "words with marks inside or doubled", "repeated lines", "log lines", "log n_chars"]
+STRUCTURE = ["log words", "log chars a word", "upper case", "digits", "marks", "distinct words", "commonest word", "words with marks but for one at the end", "repeated lines", "log lines", "log n_chars"]
 
 
 def words(seen: Iterable[bytes]) -> np.ndarray:
@@ -31,7 +31,8 @@ def structure(text: bytes, seen: Counter, n_chars: int | None = None) -> np.ndar
     upper, digits, marks = (len(text) - len(text.translate(None, kind)) for kind in (_UPPER, _DIGITS, _MARKS))
     size = max(len(text), 1)
     lines = text.split(b"\n")
-    odd = sum(k for w, k in seen.items() if len(w) > 1 and w[-1] in b"!#$%&*|" or w == b"|")
+    # words with more marks than one at their end
+    odd = sum(k for w, k in seen.items() if len(w) - len(w.translate(None, _MARKS)) > (w[-1] in _MARKS))
     length = len(text) if n_chars is None else n_chars
     return np.array([
         np.log1p(n) / 4, np.log1p(len(text) / max(n, 1)), upper / size, digits / size, 4 * marks / size,

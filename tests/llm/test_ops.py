@@ -505,6 +505,17 @@ def test_factorisation_machine_identity():
     assert m.raw(at, x) == pytest.approx(m.bias + float(m.linear[at] @ x) + pairs, rel=1e-4)
 
 
+def test_quality_on_held_out_labels(spark):
+    """Labels that were not learnt from, on the supplied tables."""
+    at = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{at}/{t}.parquet") for t in ("documents", "labels"))
+    got = {r.doc_id: r for r in quality.classify(docs, labels).collect()}
+    held = [(got[r.doc_id].score, r.quality) for r in labels.collect() if r.doc_id in got and got[r.doc_id].held_out]
+    good, poor = ([s for s, q in held if q == x] for x in (1, 0))
+    assert len(good) > 30 and len(poor) > 3
+    assert sum((a > b) + (a == b) / 2 for a in good for b in poor) / (len(good) * len(poor)) > 0.95
+
+
 # op7
 
 
