@@ -164,6 +164,18 @@ def gens_json(generations: list[dict], build_date: str, kind: str = "all") -> st
     return json.dumps({"schema": GENS_SCHEMA, "build_date": build_date, "chunk_size": WINDOW, "kind": kind, "gens": own}, ensure_ascii=False)
 
 
+# Names of the delivery archive's members.
+SUMMARY_NAME, LIST_NAME, WINDOW_NAME = "gens.json", "%d/avail.flam3idx", "%d/%05d.flam3chunk"
+
+
+def member_names(ids: DataFrame) -> DataFrame:
+    """(name) of all members of the archive of some documents."""
+    own = ids.select("gen", paths.window_start(F.col("sheep_id")).alias("lo")).distinct()
+    lists = own.select(F.format_string(LIST_NAME, "gen").alias("name")).distinct()
+    summary = ids.sparkSession.createDataFrame([(SUMMARY_NAME,)], "name string")
+    return own.select(F.format_string(WINDOW_NAME, "gen", "lo").alias("name")).union(lists).union(summary)
+
+
 def classification(spark, path: str) -> DataFrame:
     """(gen, sheep_id, kind) of an index file's genomes and animations."""
     index = spark.read.json(path, multiLine=True, schema="genomes array<struct<gen: int, sheep_id: long, kind: string>>")

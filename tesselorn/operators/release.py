@@ -81,9 +81,9 @@ def chunk_members(texts: DataFrame, build_date: str, kind: str) -> Iterator[tupl
     gens = {r["gen"]: r.asDict() for r in stats.generations(texts).collect()}
     ids = texts.select("gen", "sheep_id").distinct().orderBy("gen", "sheep_id").toLocalIterator()
     lists = {g: delivery.pack_ascending(r["sheep_id"] for r in rows) for g, rows in groupby(ids, lambda r: r["gen"])}
-    head = {"gens.json": delivery.gens_json(list(gens.values()), build_date, kind).encode()}
-    pending = sorted((head | {f"{g}/avail.flam3idx": data for g, data in lists.items()}).items())
-    named = delivery.windows(texts).select(F.format_string("%d/%05d.flam3chunk", "gen", "lo").alias("name"), "body")
+    head = {delivery.SUMMARY_NAME: delivery.gens_json(list(gens.values()), build_date, kind).encode()}
+    pending = sorted((head | {delivery.LIST_NAME % g: data for g, data in lists.items()}).items())
+    named = delivery.windows(texts).select(F.format_string(delivery.WINDOW_NAME, "gen", "lo").alias("name"), "body")
     for r in named.orderBy("name").toLocalIterator():
         while pending and pending[0][0] < r["name"]:
             yield pending.pop(0)

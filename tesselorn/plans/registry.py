@@ -129,6 +129,22 @@ def relayout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.moves(old.unionByName(new))
 
 
+def migrate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What re-laying these files out does, by generation."""
+    return layout.move_counts(relayout(spark, sf_dir).select("path", "target", "action", "gen", "sheep_id"))
+
+
+def flat_residue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of which a part lies flat at its generation's root, some in others'."""
+    gen, sid = F.col("gen"), F.col("sheep_id")
+    folder = F.when(sid % 7 == 0, F.concat_ws("/", gen, paths.file_name(gen, sid))).when(sid % 7 == 1, F.concat_ws("/", gen + 1, paths.file_name(gen, sid))).otherwise(F.concat_ws("/", gen, paths.bucket(sid), paths.file_name(gen, sid)))
+    return ingest.flat_residue(_ids(spark, sf_dir).where("gen <> 246").select(folder.alias("path")))
+
+
+def chunk_member_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delivery.member_names(_ids(spark, sf_dir))
+
+
 def manifest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.manifest(parse.parsed(synth.documents(spark, sf_dir)), expected.FETCHED_AT, expected.LIVE_BASE, expected.ARCHIVE_BASE)
 
@@ -192,6 +208,9 @@ QUERIES = {
     "total_drift": (total_drift, _DRIFT + "select gen, 'total' as what, l + m as expected, nl + nm as actual from p where nl + nm < l + m"),
     "archive_mismatches": (archive_mismatches, "select doc_id as id, case when doc_id % 13 = 4 then 'not in the archive' when doc_id % 7 = 1 then 'not in the manifest' when doc_id % 11 = 3 then 'size' else 'sha256' end as problem from documents where case when doc_id % 13 = 4 then doc_id % 7 <> 1 else doc_id % 7 = 1 or doc_id % 11 = 3 or doc_id % 5 = 2 end"),
     "relayout": (relayout, IDS + f", f as (select gen || '/' || printf('%02dxxx', k // 1000) || '/' || {NAME} as path, gen || '/' || {BUCKET} || '/' || {NAME} as target, case when k % 4 = 0 then 'superseded' else 'move' end as action, gen, k as sheep_id from i union all select gen || '/' || {BUCKET} || '/' || {NAME}, gen || '/' || {BUCKET} || '/' || {NAME}, 'keep', gen, k from i where k % 4 = 0) select * from f"),
+    "migrate_counts": (migrate_counts, IDS + " select gen, count(*) filter (where k % 4 <> 0) as moved, count(*) filter (where k % 4 = 0) as already_chunked, count(*) filter (where k % 4 = 0) as superseded, count(distinct k // 10000) as bucket_count from i group by gen"),
+    "flat_residue": (flat_residue, IDS + " select gen, 'flat_files' as what, 0::bigint as expected, count(*) as actual from i where gen <> 246 and k % 7 = 0 group by gen"),
+    "chunk_member_names": (chunk_member_names, IDS + " select 'gens.json' as name union all select distinct gen || '/avail.flam3idx' from i union all select distinct printf('%d/%05d.flam3chunk', gen, k // 256 * 256) from i"),
     "manifest_rows": (manifest_rows, expected.MANIFEST),
     "document_check": (document_check, expected.VALID),
     "page_check": (page_check, "select page_id, false as valid from pages"),
