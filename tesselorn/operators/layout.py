@@ -14,6 +14,19 @@ from tesselorn.functions import paths
 from tesselorn.operators import ingest
 
 
+def winners(copies: DataFrame, keys: list[str], last: bool = False) -> DataFrame:
+    """Of each key's copies (sealed, path) the one that counts: loose ones before
+    sealed ones; the first path, or of loose ones the last. One row a key is
+    shuffled from each task, however many copies there are."""
+    row = F.struct("sealed", "path")
+    first = F.min(row)
+    if last:  # the greatest path of loose ones; of sealed ones the first, as they are read
+        best = F.coalesce(F.max(F.when(~F.col("sealed"), row)), first)
+    else:
+        best = first
+    return copies.groupBy(*keys).agg(best.alias("_best")).select(*keys, "_best.*")
+
+
 def moves(files: DataFrame) -> DataFrame:
     """(path, target, action, gen, sheep_id) of canonical files in any layout.
     A file that lies at its target stays (keep) and wins; others go there (move),

@@ -133,6 +133,15 @@ select id, case when c % 5 = 0 then '' else 'V-' || st || c % 7 end as version,
   case when c % 4 = 0 then 0.5 else 1 end::double as vibrancy, seq as scan_seq from g where c % 3 = 0 or c % 4 = 0
 """
 
+RARE = BASE + """
+, u as (select id, seq, unnest(used) as v from g), c as (select v, count(*) as n from u group by v order by 2, 1 limit 5)
+select id, seq as scan_seq, min({'n': n, 'v': v}).v as variation from u join c using (v) group by id, seq
+"""
+DENSEST = BASE + """
+select id, coalesce(list_max(cnts), 0)::int as max_var_per_xform, case when n = 0 then 0 else round_even(list_sum(cnts)::double / n, 2) end::double as mean_var_per_xform, seq as scan_seq
+from g order by 2 desc, 3 desc, 4 limit 10
+"""
+
 #: Fields of genomes, as the tables tell them; arrays as joined texts.
 GENOME_FIELDS = {
     "name": f"'{FILE_PREFIX}.' || gen || '.' || k", "nick": "case when c % 2 = 0 then pr else '' end", "url": "''", "dims": "''",

@@ -145,6 +145,21 @@ def chunk_member_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delivery.member_names(_ids(spark, sf_dir))
 
 
+def artifact_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gens = [r["gen"] for r in _ids(spark, sf_dir).select("gen").distinct().collect()]
+    rows = [(g, paths.gen_zip_name(g, "2026-01-02"), paths.undated_zip_path(g, "x")[2:], paths.mega_name("2026-01-02"), paths.chunks_name("2026-01-02")) for g in gens]
+    return spark.createDataFrame(rows, "gen int, zip string, undated_zip string, bundle string, chunks string")
+
+
+def gather_winners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as copies of an order, a third of them sealed: which copy an
+    index takes (the first loose path) and which a release (the last one)."""
+    sealed = F.col("l_partkey") % 3 == 0
+    copies = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("sheep_id"), sealed.alias("sealed"), F.format_string("%d/%06d/%06d", "l_linenumber", "l_partkey", "l_suppkey").alias("path"))
+    first, last = layout.winners(copies, ["sheep_id"]), layout.winners(copies, ["sheep_id"], last=True)
+    return first.select("sheep_id", F.col("sealed").alias("first_sealed"), F.col("path").alias("first_path")).join(last.select("sheep_id", F.col("sealed").alias("last_sealed"), F.col("path").alias("last_path")), "sheep_id")
+
+
 def manifest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.manifest(parse.parsed(synth.documents(spark, sf_dir)), expected.FETCHED_AT, expected.LIVE_BASE, expected.ARCHIVE_BASE)
 
@@ -238,6 +253,11 @@ QUERIES = {
     "recipe_tonal": (_of(recipes.tonal), expected.TONAL),
     "recipe_lookup": (_of(lambda r: recipes.lookup(r, "246/00006").select("id", "kind", "frame_count")), expected.LOOKUP),
     "recipe_without_nan": (_of(recipes.without_nan), expected.ids("not nanc and not nanx")),
+    "recipe_rare_variations": (_of(recipes.rare_variations), expected.RARE),
+    "recipe_dense": (_of(recipes.dense), expected.DENSEST),
+    "recipe_envelope": (_of(lambda r: recipes.envelope(r, "2026-01-02")), "select 6 as _schema_version, '2026-01-02' as _build_date"),
+    "artifact_names": (artifact_names, IDS + " select gen, 'gen-' || gen || '-2026-01-02.zip' as zip, 'gen-' || gen || '.zip' as undated_zip, 'corpus-all-2026-01-02.tar.xz' as bundle, 'corpus-chunks-2026-01-02.tar' as chunks from (select distinct gen from i)"),
+    "gather_winners": (gather_winners, "with c as (select l_orderkey as sheep_id, l_partkey % 3 = 0 as sealed, printf('%d/%06d/%06d', l_linenumber, l_partkey, l_suppkey) as path from lineitem), w as (select sheep_id, bool_and(sealed) as none, min(path) filter (where not sealed) as lo, max(path) filter (where not sealed) as hi, min(path) as any_path from c group by 1) select sheep_id, none as first_sealed, case when none then any_path else lo end as first_path, none as last_sealed, case when none then any_path else hi end as last_path from w"),
     "genome_only_served": (genome_only_served, expected.SERVED),
     "chunk_bodies_roundtrip": (chunk_bodies_roundtrip, expected.TEXTS),
 }
