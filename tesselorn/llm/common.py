@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -91,6 +93,21 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+_SPACE = re.compile(rb"[\x20\x09-\x0d]")
+
+
+def word_pieces(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of a text, in lists of about ``size`` bytes of it: a very long
+    text is never held as one list."""
+    at = 0
+    while at < len(data):
+        end = len(data)
+        if at + size < end and (found := _SPACE.search(data, at + size)):
+            end = found.start()
+        yield data[at:end].split()
+        at = end
+
+
 def words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """All words of the texts, A-Z lower-cased, split at ``[\\x20\\x09-\\x0D]+``,
     in order; and how many each text has. Null gives none."""

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesselorn.llm.common import as_bytes, batch, written
+from tesselorn.llm.common import as_bytes, batch, word_pieces, written
 from tesselorn.llm.features import STRUCTURE, WORD_BITS
 from tesselorn.llm.quality import inputs
 
@@ -107,7 +107,7 @@ def members(docs: DataFrame, domains: Domains) -> DataFrame:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
                 texts = as_bytes(part.column(2))
-                yield batch(schema, doc_id=part.column(0), text_hash=part.column(1), n_tokens=[len(t.split()) for t in texts], posteriors=[shared.value.posteriors(t, n).tolist() for t, n in zip(texts, part.column(3).to_pylist())])
+                yield batch(schema, doc_id=part.column(0), text_hash=part.column(1), n_tokens=[sum(map(len, word_pieces(t))) for t in texts], posteriors=[shared.value.posteriors(t, n).tolist() for t, n in zip(texts, part.column(3).to_pylist())])
 
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), "text", n_chars).mapInArrow(fold, "doc_id long, text_hash long, n_tokens long, posteriors array<double>")
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesselorn.llm.common import as_bytes, batch, remainder
+from tesselorn.llm.common import as_bytes, batch, remainder, word_pieces
 from tesselorn.llm.features import STRUCTURE, WORD_BITS, structure, words
 
 RANK = 4
@@ -46,7 +46,9 @@ class Machine:
 
 
 def inputs(text: bytes, n_chars: int | None) -> tuple[np.ndarray, np.ndarray]:
-    seen = Counter(text.split())
+    seen = Counter()
+    for some in word_pieces(text):
+        seen.update(some)
     own = words(seen)
     at = np.concatenate([own, np.arange(len(STRUCTURE), dtype=np.int32) + (1 << WORD_BITS)])
     x = np.concatenate([np.full(len(own), 1 / np.sqrt(max(len(own), 1)), np.float32), structure(text, seen, n_chars)])

@@ -16,6 +16,8 @@ and are one code; components are found by star contraction over written tables.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tesselorn.llm import common
-from tesselorn.llm.common import as_bytes, batch, components, drop, hot_keys, join_hot, written
+from tesselorn.llm.common import as_bytes, batch, components, drop, hot_keys, join_hot, word_pieces, written
 
 SEED = 42
 SHINGLE = 3
@@ -34,24 +36,32 @@ FAN = 16
 FRONTIER = 1 << 18
 
 
+def gram_hashes(data: bytes, shingle: int, seed: int = SEED) -> Iterator[np.ndarray]:
+    """XXH64 of a text's shingles, repeats included, a piece of the text at a
+    time; fewer words than a shingle: the whole sequence is one; no word: none."""
+    one, carry, some = xxhash.xxh64_intdigest, [], False
+    for words in word_pieces(data.lower()):
+        words = carry + words
+        if len(words) < shingle:
+            carry = words
+            continue
+        some = True
+        yield np.array([one(g, seed) for g in map(b" ".join, zip(*(words[i:] for i in range(shingle))))], np.uint64)
+        carry = words[len(words) - shingle + 1 :]
+    if carry and not some:
+        yield np.array([one(b" ".join(carry), seed)], np.uint64)
+
+
 def simhash(data: bytes, shingle: int = SHINGLE) -> int:
     """Fingerprint of a text's UTF-8: bit set where over half of the shingle
-    hashes have it; fewer words than a shingle: the whole sequence is one; no
-    word: zero."""
-    words = data.lower().split()
-    if not words:
-        return 0
-    if len(words) <= shingle:
-        grams = [b" ".join(words)]
-    else:
-        grams = map(b" ".join, zip(*(words[i:] for i in range(shingle))))
-    one = xxhash.xxh64_intdigest
-    hashes = np.array([one(g, SEED) for g in grams], np.uint64)
-    seen = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 15):
-        part = hashes[at : at + (1 << 15)].view(np.uint8).reshape(-1, 8)
-        seen += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
-    return int(np.packbits(seen * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
+    hashes have it; no word: zero."""
+    seen, n = np.zeros(64, np.int64), 0
+    for hashes in gram_hashes(data, shingle):
+        n += len(hashes)
+        for at in range(0, len(hashes), 1 << 15):
+            part = hashes[at : at + (1 << 15)].view(np.uint8).reshape(-1, 8)
+            seen += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
+    return int(np.packbits(seen * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

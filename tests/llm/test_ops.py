@@ -65,6 +65,20 @@ def test_words_of_slices():
         assert found.cast(pa.large_binary()).to_pylist() == [w for ws in want for w in ws]
 
 
+def test_pieces_of_long_texts():
+    """Words and shingles of a text are the same in pieces of any size."""
+    rng = random.Random(3)
+    for _ in range(200):
+        data = "".join(rng.choices(["a", "bc", "\u00e9", " ", "\n", "\t \x0b", "\u00a0"], k=rng.randint(0, 40))).encode()
+        for size in (1, 2, 7, 100):
+            assert [w for p in common.word_pieces(data, size) for w in p] == data.split()
+    data = b"one two  three\nfour " * 100_000
+    words_ = data.split()
+    for n in (1, 3, 5):
+        want = [xxhash.xxh64_intdigest(b" ".join(words_[i : i + n]), 42) for i in range(len(words_) - n + 1)]
+        assert np.concatenate(list(simhash.gram_hashes(data, n))).tolist() == want
+
+
 def test_pack_round_trip():
     for a in ([], [0], [2**64 - 1, 0, 7], list(range(1000))):
         a = np.array(a, np.uint64)
