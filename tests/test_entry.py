@@ -14,7 +14,7 @@ def test_entry_without_the_optional_folders(tmp_path):
     code = "import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); assert len(q) > 40 and set(o) <= set(q); print(len(q))"
     for pipeline in (True, False):
         if not pipeline:
-            (tmp_path / "repo/corpus_pipeline.py").unlink()
+            (tmp_path / "repo/corpus_pipeline.py").unlink(missing_ok=True)
         run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "repo", capture_output=True, text=True)
         assert run.returncode == 0, run.stderr
 
