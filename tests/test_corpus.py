@@ -14,6 +14,7 @@ from pyspark.sql.datasource import EqualTo
 from tesselorn import __main__ as cli
 from tesselorn.functions import lenient, paths
 from tesselorn.operators import delivery, features, ingest, layout, parse, release, unseal
+from tesselorn.plans import synth
 from tesselorn.sources import corpus as corpus_source
 from tesselorn.streaming import ingest as streams
 
@@ -54,6 +55,21 @@ def test_classify(raw, kind, error):
     assert found[0] == kind and (found[1] is None if error is None else found[1].startswith(error))
 
 
+def test_made_documents_are_dealt_once(spark):
+    """Texts are made after the tables are dealt by key: no text is sent again, or broadcast."""
+    sent = synth.documents(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in sent
+    lines = [x for x in sent.splitlines() if "Exchange hashpartitioning" in x]
+    assert len(lines) == 2 and all("orderkey" in x for x in lines)
+    under = sent.splitlines()[sent.splitlines().index(lines[-1]) + 1 :]
+    assert not any("<xform" in x for x in under)
+
+
+def test_line_ends(spark):
+    docs = spark.createDataFrame([(1, b"a\r\nb\rc\nd"), (2, b"a\nb"), (3, b"\xff\r"), (4, None)], "sheep_id long, content binary")
+    assert {r.sheep_id: r.xml for r in delivery.readable(docs).collect() if r.xml is not None} == {1: "a\nb\nc\nd", 2: "a\nb"}
+
+
 def test_numbers(spark):
     rows = spark.createDataFrame([("1_0",), ("1.5f",), (" 2 ",), ("nan",), (None,), ("1e3",), ("3.0",)], "t string")
     found = rows.select(lenient.to_float(F.col("t")).alias("f"), lenient.to_int(F.col("t")).alias("i")).collect()
