@@ -6,11 +6,13 @@ of ``LEAST``, whose fingerprints lie within ``RADIUS`` bits and of whose eight m
 candidate bring their sets along; pairs are then decided by the sets themselves.
 
 Set sizes are cut into classes a factor of 1 / ``LEAST`` wide, so partners are in
-the same class or the next. At this radius ranges of the Gray order exclude
-nothing (on random codes its index took 74 ns a pair, a scan 8), so a class is
-dealt to blocks by hash, and each two blocks meet once and are scanned: the work
-is the square of a class, the rows sent are whole blocks. A meeting gives back
-a spanning set of the links it verified.
+the same class or the next. A class is dealt to blocks by hash, so that blocks
+are even, and each two blocks meet once: at this radius no range of the Gray
+order could be left out. In a meeting one block's fingerprints are searched for
+in the Gray index of the other's, which goes down by runs of neighbours. Few of
+its groups are beyond the radius for a whole run (1 % or none on random codes
+and on clusters of them), so the work stays the square of a class, and the rows
+sent are whole blocks. A meeting gives back a spanning set of the links it verified.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tesselorn.llm.common import as_bytes, batch, drop, hot_keys, join_hot, mixed, written
-from tesselorn.llm.simhash import connected, gram_hashes
+from tesselorn.llm.simhash import GrayIndex, connected, gram_hashes
 
 SHINGLE = 5
 LEAST = 0.8
@@ -34,8 +36,6 @@ RADIUS = 16
 RADIUS_FEW, FEW = 24, 20
 #: Of eight min-hashes 6.4 +- 1.1 agree at a Jaccard index of 0.8.
 SAME = 3
-#: Pairs of fingerprints that a scan holds at once, about.
-SCAN = 1 << 18
 #: Nodes in a block, least and most; and shingles in a block of sets, about.
 BLOCK = (2048, 1 << 15)
 MASS = 1 << 20
@@ -89,11 +89,7 @@ def prints(docs: DataFrame) -> DataFrame:
 def _candidates(x: dict, y: dict, same: bool):
     """Yields arrays (place in x, place in y); each pair once if x is y."""
     radius = RADIUS if x["size"].max() >= FEW else RADIUS_FEW
-    step = max(1, SCAN // len(y["code"]))
-    for i in range(0, len(x["code"]), step):
-        off = np.bitwise_count(x["code"][i : i + step, None] ^ y["code"][None, :])
-        q, at = np.nonzero(off <= radius)
-        q += i
+    for q, at in GrayIndex(y["code"]).search_runs(x["code"], radius):
         a, b = x["size"][q], y["size"][at]
         near = (np.minimum(a, b) >= LEAST * np.maximum(a, b)) & ((q < at) if same else True)
         q, at = q[near], at[near]

@@ -100,6 +100,7 @@ class GrayIndex:
 
     def __init__(self, patterns: np.ndarray, masks: np.ndarray | None = None):
         full = np.full(len(patterns), ~np.uint64(0)) if masks is None else masks
+        self.met = 0
         self.order = np.argsort(gray_rank(patterns), kind="stable")
         pattern, mask = (patterns & full)[self.order], full[self.order]
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []
@@ -136,6 +137,34 @@ class GrayIndex:
             if q is not None and len(q):
                 yield q, self.order[node]
 
+    def search_runs(self, queries: np.ndarray, radius: int):
+        """The same for a wide radius, at which most groups stay for one query or
+        another: queries go down in runs of their Gray order, and a group is left
+        as soon as it is beyond the radius for a whole run. ``met`` counts the
+        pairs of query and entry that were looked at."""
+        if not len(self.order):
+            return
+        rank = np.argsort(gray_rank(queries), kind="stable")
+        step = max(1, FRONTIER // len(self.order))
+        for i in range(0, len(rank), step):
+            own = rank[i : i + step]
+            code, node, off = queries[own][:, None], np.zeros(1, np.int64), np.zeros((len(own), 1), np.uint8)
+            for depth in range(len(self.levels) - 1, -1, -1):
+                pattern, mask = self.levels[depth]
+                differ = code ^ pattern[node]
+                differ &= mask[node]
+                off = off + np.bitwise_count(differ)
+                near = off <= radius
+                if depth:
+                    kept = np.flatnonzero(near.any(axis=0))
+                    node = (node[kept][:, None] * FAN + np.arange(FAN)).ravel()
+                    there = int(np.searchsorted(node, len(self.levels[depth - 1][0])))
+                    node, off = node[:there], np.repeat(off[:, kept], FAN, axis=1)[:, :there]
+            self.met += near.size
+            q, at = np.nonzero(near)
+            if len(q):
+                yield own[q], self.order[node[at]]
+
 
 def _links(codes: DataFrame, radius: int) -> DataFrame | None:
     """(a, b): links between distinct codes that connect all that are within

@@ -3,11 +3,12 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tesselorn.llm import common, linededup, mixing, nearsets, pieces, quality
+from tesselorn.llm import common, linededup, mixing, nearsets, pieces, quality, simhash
 from tesselorn.llm.queries import TARGETS, label_domains
 
 
@@ -58,6 +59,45 @@ def test_near_dedup_finds_edited_copies(spark, docs_of, monkeypatch):
     assert corpus_pipeline.near_dedup(spark, docs.limit(0), "").count() == 0
 
 
+def test_near_dedup_searches_the_gray_index(monkeypatch):
+    """Candidates come from the index of the other block, and are all there are."""
+    rng = np.random.default_rng(3)
+    made = []
+
+    class Seen(simhash.GrayIndex):
+        def __init__(self, codes):
+            super().__init__(codes)
+            made.append(self)
+
+    def block(n, sizes):
+        code = rng.integers(0, 2**64, 9, dtype=np.uint64)[rng.integers(0, 9, n)]
+        for _ in range(9):
+            code ^= np.uint64(1) << rng.integers(0, 64, n, dtype=np.uint64)
+        return {"code": code, "sketch": rng.integers(0, 4, (n, 8)).astype(np.uint8).view(np.uint64).ravel(), "size": rng.integers(*sizes, n)}
+
+    monkeypatch.setattr(nearsets, "GrayIndex", Seen)
+    for sizes, radius in (((80, 101), nearsets.RADIUS), ((12, 20), nearsets.RADIUS_FEW)):
+        for n, m in ((300, 300), (1, 257), (40, 1)):
+            x = block(n, sizes)
+            y = x if n == m else block(m, sizes)
+            want = set()
+            for i in range(n):
+                for j in range(m):
+                    a, b = sorted((int(x["size"][i]), int(y["size"][j])))
+                    bytes_alike = sum(p == q for p, q in zip(x["sketch"][i].tobytes(), y["sketch"][j].tobytes()))
+                    if (y is not x or i < j) and (x["code"][i] ^ y["code"][j]).item().bit_count() <= radius and a >= nearsets.LEAST * b and bytes_alike >= nearsets.SAME:
+                        want.add((i, j))
+            got = [(int(i), int(j)) for q, at in nearsets._candidates(x, y, y is x) for i, j in zip(q, at)]
+            assert len(got) == len(set(got)) and set(got) == want
+            assert made.pop().met > 0 and not made
+    assert list(simhash.GrayIndex(np.zeros(0, np.uint64)).search_runs(x["code"], 16)) == []
+    # far clusters are left as groups, for runs that lie in another one
+    far = np.concatenate([np.arange(4096, dtype=np.uint64), ~np.arange(4096, dtype=np.uint64)])
+    index = simhash.GrayIndex(far)
+    monkeypatch.setattr(simhash, "FRONTIER", 1 << 14)
+    assert sum(len(q) for q, _ in index.search_runs(far, 16)) == 2 * 4096**2 and index.met < 0.6 * len(far) ** 2
+
+
 @pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES])
 def test_stages_of_an_empty_table(spark, docs_of, stage):
     docs = docs_of([(1, "x")]).limit(0)
