@@ -4,17 +4,17 @@ Documents are indexed in shards of consecutive rows, stored in the shared
 folder with the global document frequency of each of their terms (``counts``),
 so scores use global statistics and the shards' top k merge exactly.
 
-In a shard, postings are sorted by document and cut into blocks of documents;
-each term has a greatest impact, and one for each of its blocks. A query with a
-threshold (its k-th score so far) skips the shard if its terms' greatest impacts
-cannot reach it, and each block whose summed block maxima cannot. In a block,
-terms are taken by ascending impact; the pivot is where their summed maxima
-reach the threshold, so it moves from block to block: documents with terms
-before it alone cannot enter, and only postings from the pivot on are opened.
-The best documents found are scored at once, which raises the threshold;
-then the pivot moves down, in blocks that still have candidates, until the few
-documents left are scored exactly. All of that is done on arrays of a query's
-blocks at a time. Ties go to the smaller id.
+In a shard, documents lie by kind (clusters of their frequent words, in practice
+languages) and size, and are cut into blocks; each term has a greatest impact,
+and one for each of its blocks. A query with a threshold (its k-th score so far)
+skips the shard if its terms' greatest impacts cannot reach it, and each block
+whose summed block maxima cannot. A block's terms are of two sorts: those in many
+of its documents, which have the lesser impacts, and rare ones. The frequent ones
+are opened first, for many queries of a kind at once, as a matrix product. The
+pivot then stands before the rare ones: where the best sum so far and their maxima
+cannot reach the threshold, they stay closed. Else they are added, and documents
+that may reach the threshold, by sums in single precision with a margin, are
+scored exactly, which raises it for the next block. Ties go to the smaller id.
 
 Shards are searched in rounds of growing size. The k-th scores of all rounds so
 far go to the next one as thresholds, and from shard to shard within a task, so
@@ -39,20 +39,32 @@ K1, B = 1.2, 0.75
 #: Size of a shard: whichever comes first.
 SHARD_DOCS = 1 << 14
 SHARD_TOKENS = 3_000_000
-BLOCK_BITS = 8
+BLOCK_BITS = 9
+#: A term is frequent in a block if it is in this share of a block's documents;
+#: at most so many are. A sum of so many in single precision is within MARGIN.
+FREQUENT, FREQUENT_TERMS = 1 / 16, 4096
+MARGIN = 1e-3
+#: Queries, and their terms, that meet a block at once, about.
+BATCH, BATCH_TERMS = 256, 1 << 16
+#: Above this share of queries that stay, the others are not taken out of a batch.
+DENSE = 0.8
+#: Documents and queries are put in so many kinds, by their most frequent terms.
+KINDS, KIND_TERMS = 8, 128
 #: Queries in a row of the stored queries.
 QUERY_BLOCK = 256
-#: Terms and queries in a group, about: 16 MB of terms are broadcast.
-GROUP_TERMS, GROUP_QUERIES = 2_000_000, 1 << 16
+#: Terms and queries in a group, about: 12 MB of terms are broadcast, and the distinct ones.
+GROUP_TERMS, GROUP_QUERIES = 3_000_000, 1 << 16
 #: A round has so many times the shards of all before.
 GROWTH = 4
-#: How often the pivot moves down by half before all that is left is opened.
-MOVES = 4
-#: Candidates are scored at once if they are no more than this times k.
+#: Candidates of a query are cut by the k-th of their sums if they are more than this times k.
 FEW = 3
+#: Candidates that are scored at once.
+EXACT = 2048
 #: Scores are compared at so many decimals, so that equal texts tie.
 DECIMALS = 9
 SLACK = 1e-6
+#: Below the score of any document that has a query's word.
+LEAST = 1e-30
 #: Stands for a null id: behind all others.
 LAST = (1 << 63) - 1
 
@@ -62,6 +74,33 @@ FOUND = pa.schema([("number", pa.int64()), ("query_id", pa.int64()), ("doc_id",
 FOUND_DDL = "number long, query_id long, doc_id long, score double"
 
 
+def kinds(terms: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+    """A kind for each of n texts, by the most frequent terms (numbers) that they
+    have; text of[i] has terms[i]. Only speed depends on it."""
+    out = np.zeros(n, np.int64)
+    have = np.bincount(terms)
+    best = np.argsort(-have, kind="stable")[:KIND_TERMS]
+    number = np.full(len(have), -1)
+    number[best] = np.arange(len(best))
+    column = number[terms]
+    x = np.zeros((n, len(best)), np.float32)
+    x[of[column >= 0], column[column >= 0]] = 1
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    some = x[x.any(1)]
+    if len(some) <= KINDS:
+        return out
+    some = some[:: -(-len(some) // 512)]
+    centres = some[:1]
+    for _ in range(KINDS - 1):  # far from the others, but no outlier
+        far = np.argsort((some @ centres.T).max(1), kind="stable")[len(some) // 50]
+        centres = np.vstack([centres, some[far : far + 1]])
+    for _ in range(6):
+        out = np.argmax(x @ centres.T, 1)
+        centres = np.eye(KINDS, dtype=np.float32)[out].T @ x
+        centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-9)
+    return out
+
+
 def index(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """A row for each shard: its inverted index, packed."""
 
@@ -73,7 +112,12 @@ def index(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             ids, sizes, tokens = (np.concatenate(x) for x in zip(*kept))
             kept, n, size = [], 0, 0
             terms, which = np.unique(tokens, return_inverse=True)
-            pairs, tfs = np.unique(which * len(sizes) + np.repeat(np.arange(len(sizes)), sizes), return_counts=True)
+            of = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort((sizes, kinds(which, of, len(sizes))))
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            ids, sizes = ids[order], sizes[order]
+            pairs, tfs = np.unique(which * len(sizes) + place[of], return_counts=True)
             df = np.bincount(pairs // len(sizes), minlength=len(terms))
             return batch(SHARD, block=[uuid.uuid4().hex], ids=[pack(ids.view(np.uint64))], sizes=[pack(sizes)], terms=[pack_sorted(terms)], starts=[pack(df)], docs=[pack(pairs % len(sizes))], tfs=[pack(tfs)], n=[len(sizes)], tokens=[int(sizes.sum())])
 
@@ -113,40 +157,47 @@ def query_blocks(queries: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def runs(starts: np.ndarray, which: np.ndarray) -> np.ndarray:
     """All places from starts[i] up to starts[i + 1], for each i of ``which``."""
-    lo = starts[which]
-    n = starts[which + 1] - lo
+    return runs_of(starts[which], starts[which + 1] - starts[which])
+
+
+def runs_of(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The n[i] places from lo[i] on, for each i."""
     upto = np.cumsum(n)
     return np.repeat(lo - upto + n, n) + np.arange(upto[-1] if len(n) else 0)
 
 
 class Shard:
-    """One shard's postings with impacts, and the search in it. ``opened``
-    counts the postings that searches looked at, ``all`` those of their terms."""
+    """One shard's postings with impacts, of the terms in ``asked`` (sorted; None:
+    all), and the search in it. ``opened`` counts the postings that searches
+    looked at, ``all`` those of their terms, where all terms are kept."""
 
-    def __init__(self, row, df: np.ndarray, documents: int, mean: float, bits: int):
-        self.bits, self.opened, self.all = bits, 0, 0
+    def __init__(self, row, df: np.ndarray, documents: int, mean: float, bits: int, asked: np.ndarray | None = None):
+        self.bits, self.opened, self.all, self.counting = bits, 0, 0, asked is None
         self.ids = unpack(row["ids"]).view(np.int64)
         self.terms = unpack_sorted(row["terms"])
         sizes = unpack(row["sizes"]).astype(np.float64)
         own = unpack(row["starts"]).astype(np.int64)
-        self.docs = unpack(row["docs"]).view(np.int64)
-        tf = unpack(row["tfs"]).astype(np.float64)
+        docs, tf = unpack(row["docs"]).astype(np.int32), unpack(row["tfs"])
+        if asked is not None:
+            keep = np.isin(self.terms, asked, assume_unique=True)
+            posts = np.repeat(keep, own)
+            self.terms, own, df, docs, tf = self.terms[keep], own[keep], df[keep], docs[posts], tf[posts]
         idf = np.log(1 + (documents - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * sizes / max(mean, 1e-9))
         term = np.repeat(np.arange(len(own), dtype=np.int32), own)
-        self.impact = idf[term] * tf * (K1 + 1) / (tf + norm[self.docs])
-        block = (self.docs >> bits).astype(np.int32)
-        first = np.flatnonzero(np.concatenate([[True], (np.diff(term) != 0) | (np.diff(block) != 0)])) if len(term) else np.zeros(0, np.int64)
-        # an entry: the postings of a term in a block
-        self.entry_start = np.append(first, len(term))
-        self.entry_block, self.entry_max = block[first], np.maximum.reduceat(self.impact, first) if len(first) else np.zeros(0)
-        self.entry_of = np.searchsorted(term[first], np.arange(len(own) + 1))
-        self.most = np.maximum.reduceat(self.entry_max, self.entry_of[:-1]) if len(own) else np.zeros(0)
-        # the same postings by document
-        order = np.argsort(self.docs.astype(np.uint16) if len(self.ids) <= 1 << 16 else self.docs, kind="stable")
-        self.own_term, self.own_impact = term[order], self.impact[order]
-        self.own_start = np.concatenate([[0], np.cumsum(np.bincount(self.docs, minlength=len(self.ids)))])
-        self.asked = np.zeros(len(own), bool)
+        impact = idf[term] * tf * (K1 + 1) / (tf + norm[docs])
+        self.most = np.maximum.reduceat(impact, np.cumsum(own) - own) if len(own) else np.zeros(0)
+        # by block, then term
+        block = (docs >> bits).astype(np.uint16 if len(self.ids) <= 1 << 16 else np.int32)
+        order = np.argsort(block, kind="stable")
+        self.block_at = np.searchsorted(block[order], np.arange(((len(self.ids) - 1) >> bits) + 2))
+        self.term, self.doc, self.impact = term[order], docs[order] & ((1 << bits) - 1), impact[order]
+        # by document, then term
+        order = np.argsort(docs.astype(np.uint16) if len(self.ids) <= 1 << 16 else docs, kind="stable")
+        self.own_term, self.own_impact = term[order], impact[order]
+        self.own_start = np.concatenate([[0], np.cumsum(np.bincount(docs, minlength=len(self.ids)))])
+        self.code = np.full(len(own), -1, np.int32)
+        self.buffers = np.empty(0, np.int64), np.empty(0)
 
     def places(self, terms: np.ndarray) -> np.ndarray:
         """Number of each term here, -1 for those that are not."""
@@ -155,75 +206,180 @@ class Shard:
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         return np.where(self.terms[at] == terms, at, -1)
 
-    def _exact(self, docs: np.ndarray) -> np.ndarray:
-        """Scores of some documents over the terms that are asked."""
-        at = runs(self.own_start, docs)
-        hit = self.asked[self.own_term[at]]
-        of = np.repeat(np.arange(len(docs)), self.own_start[docs + 1] - self.own_start[docs])
-        return np.round(np.bincount(of[hit], self.own_impact[at[hit]], len(docs)), DECIMALS)
-
     def top(self, which: np.ndarray, k: int, low: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the best k documents that have any of the terms
-        (numbers) and a score of at least ``low``."""
-        most = self.most[which]
-        if not len(which) or most.sum() < low - SLACK:
-            return np.zeros(0, np.int64), np.zeros(0)
-        self.asked[which] = True
-        docs, score = self._best(which[np.argsort(most)], k, low)
-        self.asked[which] = False
-        best = np.lexsort((self.ids[docs], -score))[:k]
-        return self.ids[docs[best]], score[best]
-
-    def _best(self, which: np.ndarray, k: int, low: float) -> tuple[np.ndarray, np.ndarray]:
-        entries = runs(self.entry_of, which)  # terms of least impact first
-        order = np.argsort(self.entry_block[entries].astype(np.uint16), kind="stable")
-        entries = entries[order]
-        block = self.entry_block[entries]
-        first = np.flatnonzero(np.concatenate([[True], np.diff(block) != 0]))
-        here, held = block[first], np.diff(np.append(first, len(block)))
-        most = self.entry_max[entries]
-        upto = np.cumsum(most)
-        # summed maxima of a block's terms up to and with this one
-        reach = upto - np.repeat(upto[first] - most[first], held)
-        size = self.entry_start[entries + 1] - self.entry_start[entries]
-        self.all += int(size.sum())
-        rest = np.zeros((len(self.ids) >> self.bits) + 1)
-        level = low - SLACK if low > SLACK else -1.0
-        closed = np.repeat(reach[first + held - 1] >= level, held)  # entries of live blocks, not opened
-        partial = np.zeros(len(self.ids))
-        for move in range(MOVES + 1):
-            now = np.flatnonzero(closed & (reach >= level))
-            closed[now] = False
-            at = runs(self.entry_start, entries[now])
-            self.opened += len(at)
-            partial += np.bincount(self.docs[at], self.impact[at], len(partial))
-            left = np.add.reduceat(closed, first, dtype=np.int64)
-            rest[here] = np.where(left > 0, reach[first + np.maximum(left, 1) - 1], 0.0)
-            if move == 0:
-                docs = np.flatnonzero(partial)
-                if len(docs) > FEW * k:
-                    seeds = docs[np.argpartition(partial[docs], -k)[-k:]]
-                    low = max(low, float(self._exact(seeds).min()))
-            docs = docs[partial[docs] + rest[docs >> self.bits] >= low - SLACK]
-            if len(docs) <= FEW * k or level <= 0:
-                break
-            level = level / 2 if move < MOVES - 1 else -1.0
-            live = np.zeros(len(rest), bool)
-            live[docs >> self.bits] = True
-            closed &= live[block]
-        score = self._exact(docs)
-        return docs[score >= low], score[score >= low]
+        (numbers, ascending) and a score of at least ``low``."""
+        best = {}
+        self.search(which, np.array([0, len(which)]), k, np.array([low]), best, np.zeros(1, np.int64))
+        return best.get(0, (np.zeros(0, np.int64), np.zeros(0)))
+
+    def search(self, which: np.ndarray, ends: np.ndarray, k: int, low: np.ndarray, best: dict, order: np.ndarray) -> None:
+        """Adds to ``best`` (ids and scores of each query) the documents here that
+        have any of a query's terms and enter its best k with a score of at least
+        ``low``, which rises. Terms of query i: which[ends[i]:ends[i + 1]],
+        ascending. Queries come in ``order``. One that has no ``low`` yet opens
+        the whole shard."""
+        reach = np.concatenate([[0.0], np.cumsum(self.most[which])])
+        reach = reach[ends[1:]] - reach[ends[:-1]] + SLACK
+        order = order[((ends[1:] > ends[:-1]) & (reach >= low * (1 - 1e-9)))[order]]
+        if not len(order):
+            return
+        upto, batches, first = np.cumsum(ends[order + 1] - ends[order]), [], 0
+        while first < len(order):
+            last = int(np.searchsorted(upto, (upto[first - 1] if first else 0) + BATCH_TERMS, side="right"))
+            batch_ = order[first : max(first + 1, min(last, first + BATCH))]
+            at = runs(ends, batch_)
+            batches.append((batch_, low[batch_] > 0, which[at], np.repeat(np.arange(len(batch_), dtype=np.int32), ends[batch_ + 1] - ends[batch_])))
+            first += len(batch_)
+        for nth in range(len(self.block_at) - 1):
+            lo, hi = self.block_at[nth : nth + 2]
+            if hi > lo:
+                self._block(nth, self.term[lo:hi], self.doc[lo:hi], self.impact[lo:hi], batches, k, low, best)
+
+    def _block(self, nth, term, doc, impact, batches, k, low, best) -> None:
+        width = 1 << self.bits
+        start = np.flatnonzero(np.concatenate([[True], np.diff(term) != 0]))
+        size, most = np.diff(np.append(start, len(term))), np.maximum.reduceat(impact, start)
+        # terms by falling number of documents: codes 0 up to many are frequent
+        rank = np.argsort(-size, kind="stable")
+        start, size, terms, most = start[rank], size[rank], term[start[rank]], most[rank]
+        many = min(int((size >= max(2, width * FREQUENT)).sum()), FREQUENT_TERMS)
+        self.code[terms] = np.arange(len(terms), dtype=np.int32)
+        at = runs_of(start[:many], size[:many])
+        matrix = np.zeros((many, width), np.float32)
+        matrix[np.repeat(np.arange(many), size[:many]), doc[at]] = impact[at]
+        most32 = most[:many].astype(np.float32)
+        rare = self._tables(start, size, doc, impact, many)
+        for queries, known, which, of in batches:
+            n = len(queries)
+            level = np.maximum(low[queries] * (1 - MARGIN) - SLACK, LEAST)
+            bound = np.where(known, level, LEAST)
+            code = self.code[which]
+            hit = np.flatnonzero(code >= 0)
+            code, q = code[hit], of[hit]
+            if self.counting:
+                self.all += int(size[code].sum())
+            reach = np.bincount(q, most[code], n)
+            live = reach >= bound
+            number = np.flatnonzero(live)
+            if not len(number):
+                continue
+            if len(number) < n * DENSE:
+                hit = np.flatnonzero(live[q])
+                code, q = code[hit], (np.cumsum(live, dtype=np.int32) - 1)[q[hit]]
+                level, bound, reach, n = level[number], bound[number], reach[number], len(number)
+            else:
+                level[~live], number = np.inf, np.arange(n)
+            if self.counting:
+                self.opened += int(size[code[(code < many) & np.isfinite(level[q])]].sum())
+            place = code * n + q
+            frequent = place < many * n
+            has = np.zeros((many, n), np.float32)
+            has.ravel()[place[frequent]] = 1
+            sums = has.T @ matrix
+            # the pivot stands before the rare terms, with the best sum of the others
+            live = sums.max(1) + (reach - (1 - MARGIN) * (most32 @ has)) >= bound
+            level[~live] = np.inf
+            rest = np.flatnonzero(~frequent)
+            code, q = code[rest], q[rest]
+            if np.count_nonzero(live) < n * DENSE:
+                hit = np.flatnonzero(live[q])
+                code, q = code[hit], q[hit]
+            if self.counting:
+                self.opened += int(size[code[np.isfinite(level[q])]].sum())
+            sums = self._added(code, q, rare, sums)
+            found = np.flatnonzero(sums >= level[:, None])
+            if not len(found):
+                continue
+            more = np.flatnonzero(np.bincount(found >> self.bits, minlength=n) > FEW * k)
+            if len(more) and width > k:
+                level[more] = np.maximum(level[more], np.partition(sums[more], -k, axis=1)[:, -k] * (1 - 2 * MARGIN) - SLACK)
+                found = found[sums.ravel()[found] >= level[found >> self.bits]]
+            self._enter(queries, which, of, number[found >> self.bits], (found & (width - 1)) + (nth << self.bits), k, low, best)
+        self.code[terms] = -1
+
+    def _tables(self, start, size, doc, impact, many) -> list:
+        """Rare terms' postings in tables of a row for each term, those of about
+        as many documents in one, filled up with impacts of 0: (first code, code
+        after the last, documents, impacts)."""
+        out, lo = [], many
+        while lo < len(size):
+            wide = int(size[lo])
+            least = wide - wide // 4
+            hi = int(np.searchsorted(-size, -least, side="right"))
+            docs, impacts = np.zeros((hi - lo, wide), np.int64), np.zeros((hi - lo, wide))
+            at = runs_of(start[lo:hi], size[lo:hi])
+            slot = runs_of(np.arange(hi - lo) * wide, size[lo:hi])
+            docs.ravel()[slot], impacts.ravel()[slot] = doc[at], impact[at]
+            out.append((lo, hi, docs, impacts))
+            lo = hi
+        return out
+
+    def _added(self, code, q, tables, sums) -> np.ndarray:
+        """``sums`` with the postings of rare terms, in double precision."""
+        key = code.astype(np.int64)
+        key <<= 32
+        key |= q
+        key.sort()
+        code = key >> 32
+        q = key & 0xFFFFFFFF
+        q <<= self.bits
+        cuts = np.searchsorted(code, [lo for lo, *_ in tables] + [tables[-1][1]] if tables else [0])
+        total = sum(int(b - a) * t[2].shape[1] for t, a, b in zip(tables, cuts, cuts[1:]))
+        if len(self.buffers[0]) < total:
+            self.buffers = np.empty(total, np.int64), np.empty(total)
+        (at, weight), first = (x[:total] for x in self.buffers), 0
+        for (lo, _, docs, impacts), a, b in zip(tables, cuts, cuts[1:]):
+            if b > a:
+                last = first + int(b - a) * docs.shape[1]
+                own = code[a:b] - lo
+                places = at[first:last].reshape(b - a, -1)
+                np.take(docs, own, axis=0, out=places, mode="clip")
+                places += q[a:b, None]
+                np.take(impacts, own, axis=0, out=weight[first:last].reshape(b - a, -1), mode="clip")
+                first = last
+        return np.bincount(at, weight, sums.size).reshape(sums.shape) + sums
+
+    def _exact(self, which: np.ndarray, of: np.ndarray, q: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """Scores of documents for queries, over the terms that these have."""
+        keys = of.astype(np.int64) * len(self.terms) + which
+        out = []
+        for first in range(0, len(docs), EXACT):
+            d, own = docs[first : first + EXACT], q[first : first + EXACT]
+            at = runs(self.own_start, d)
+            pair = np.repeat(np.arange(len(d)), self.own_start[d + 1] - self.own_start[d])
+            key = own[pair] * len(self.terms) + self.own_term[at]
+            hit = keys[np.minimum(np.searchsorted(keys, key), len(keys) - 1)] == key
+            out.append(np.bincount(pair[hit], self.own_impact[at[hit]], len(d)))
+        return np.round(np.concatenate(out), DECIMALS)
+
+    def _enter(self, queries, which, of, q, docs, k, low, best) -> None:
+        score = self._exact(which, of, q, docs)
+        ok = score >= low[queries[q]]
+        q, ids, score = q[ok], self.ids[docs[ok]], score[ok]
+        first = np.flatnonzero(np.concatenate([[True], np.diff(q) != 0])) if len(q) else []
+        for lo, hi in zip(first, np.append(first[1:], len(q))):
+            query, own, points = int(queries[q[lo]]), ids[lo:hi], score[lo:hi]
+            if query in best:
+                own, points = np.concatenate([best[query][0], own]), np.concatenate([best[query][1], points])
+            by = np.lexsort((own, -points))[:k]
+            best[query] = own[by], points[by]
+            if len(by) == k:
+                low[query] = max(low[query], points[by[-1]])
 
 
 class Group:
-    """Some queries: ids, terms, and the score that each has to reach."""
+    """Some queries: ids, terms, the score that each has to reach, and an order
+    by kind."""
 
     def __init__(self, rows):
         self.numbers = np.concatenate([np.arange(r["queries"], dtype=np.int64) + (r["number"] << 8) for r in rows])
         self.ids = np.concatenate([unpack(r["ids"]).view(np.int64) for r in rows])
         sizes = np.concatenate([unpack(r["sizes"]).astype(np.int64) for r in rows])
         self.ends = np.concatenate([[0], np.cumsum(sizes)])
-        self.terms, self.which = np.unique(np.concatenate([unpack(r["terms"]) for r in rows]), return_inverse=True)
+        self.terms, which = np.unique(np.concatenate([unpack(r["terms"]) for r in rows]), return_inverse=True)
+        self.which = which.astype(np.int32)
+        self.order = np.argsort(kinds(self.which, np.repeat(np.arange(len(sizes)), sizes), len(sizes)), kind="stable")
         self.low = np.zeros(len(self.ids))
 
 
@@ -237,20 +393,10 @@ def _searched(shards: DataFrame, group, k: int, n: int, mean: float) -> DataFram
         for b in batches:
             for row in range(b.num_rows):
                 found = {c: b.column(c)[row].as_py() for c in ("ids", "sizes", "terms", "starts", "docs", "tfs", "df")}
-                shard = Shard(found, unpack(found["df"]).astype(np.float64), n, mean, BLOCK_BITS)
-                place = shard.places(g.terms)[g.which]
-                for q in range(len(g.ids)):
-                    own = place[g.ends[q] : g.ends[q + 1]]
-                    ids, score = shard.top(own[own >= 0], k, low[q])
-                    if not len(ids):
-                        continue
-                    if q in best:
-                        ids, score = np.concatenate([best[q][0], ids]), np.concatenate([best[q][1], score])
-                        order = np.lexsort((ids, -score))[:k]
-                        ids, score = ids[order], score[order]
-                    best[q] = ids, score
-                    if len(ids) == k:
-                        low[q] = max(low[q], score[-1])
+                shard = Shard(found, unpack(found["df"]).astype(np.float64), n, mean, BLOCK_BITS, g.terms)
+                place = shard.places(g.terms).astype(np.int32)[g.which]
+                here = np.concatenate([[0], np.cumsum(place >= 0)])[g.ends]
+                shard.search(place[place >= 0], here, k, low, best, g.order)
         for at in range(0, len(best), 4096):
             qs = list(best)[at : at + 4096]
             of = np.repeat(qs, [len(best[q][0]) for q in qs])
