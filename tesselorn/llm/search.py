@@ -59,7 +59,7 @@ GROWTH = 4
 #: Candidates of a query are cut by the k-th of their sums if they are more than this times k.
 FEW = 3
 #: Candidates that are scored at once.
-EXACT = 2048
+EXACT = 256
 #: Scores are compared at so many decimals, so that equal texts tie.
 DECIMALS = 9
 SLACK = 1e-6
@@ -198,6 +198,7 @@ class Shard:
         self.own_start = np.concatenate([[0], np.cumsum(np.bincount(docs, minlength=len(self.ids)))])
         self.code = np.full(len(own), -1, np.int32)
         self.buffers = np.empty(0, np.int64), np.empty(0)
+        self.asked = np.zeros(len(own) * max(1, min(16, (1 << 22) // max(len(own), 1))), bool)
 
     def places(self, terms: np.ndarray) -> np.ndarray:
         """Number of each term here, -1 for those that are not."""
@@ -341,17 +342,24 @@ class Shard:
         return np.bincount(at, weight, sums.size).reshape(sums.shape) + sums
 
     def _exact(self, which: np.ndarray, of: np.ndarray, q: np.ndarray, docs: np.ndarray) -> np.ndarray:
-        """Scores of documents for queries, over the terms that these have."""
-        keys = of.astype(np.int64) * len(self.terms) + which
-        out = []
-        for first in range(0, len(docs), EXACT):
-            d, own = docs[first : first + EXACT], q[first : first + EXACT]
-            at = runs(self.own_start, d)
-            pair = np.repeat(np.arange(len(d)), self.own_start[d + 1] - self.own_start[d])
-            key = own[pair] * len(self.terms) + self.own_term[at]
-            hit = keys[np.minimum(np.searchsorted(keys, key), len(keys) - 1)] == key
-            out.append(np.bincount(pair[hit], self.own_impact[at[hit]], len(d)))
-        return np.round(np.concatenate(out), DECIMALS)
+        """Scores of documents for queries (ascending), over the terms that these
+        have: some queries' terms are marked at a time."""
+        score, terms, some = np.empty(len(docs)), len(self.terms), np.unique(q)
+        slots = len(self.asked) // terms
+        for first in range(0, len(some), slots):
+            own = some[first : first + slots]
+            lo, hi = np.searchsorted(of, own), np.searchsorted(of, own, side="right")
+            marks = np.repeat(np.arange(len(own)) * terms, hi - lo) + which[runs_of(lo, hi - lo)]
+            self.asked[marks] = True
+            begin, end = np.searchsorted(q, own[0]), np.searchsorted(q, own[-1], side="right")
+            for a in range(begin, end, EXACT):
+                d = docs[a : min(a + EXACT, end)]
+                at = runs(self.own_start, d)
+                pair = np.repeat(np.arange(len(d)), self.own_start[d + 1] - self.own_start[d])
+                hit = np.flatnonzero(self.asked[(np.searchsorted(own, q[a : a + len(d)]) * terms)[pair] + self.own_term[at]])
+                score[a : a + len(d)] = np.bincount(pair[hit], self.own_impact[at[hit]], len(d))
+            self.asked[marks] = False
+        return np.round(score, DECIMALS)
 
     def _enter(self, queries, which, of, q, docs, k, low, best) -> None:
         score = self._exact(which, of, q, docs)
