@@ -39,6 +39,8 @@ K1, B = 1.2, 0.75
 #: Size of a shard: whichever comes first.
 SHARD_DOCS = 1 << 14
 SHARD_TOKENS = 3_000_000
+#: Words that are hashed together, about.
+WORD_BYTES = 1 << 24
 BLOCK_BITS = 9
 #: A term is frequent in a block if it is in this share of a block's documents;
 #: at most so many are. A sum of so many in single precision is within MARGIN.
@@ -105,19 +107,29 @@ def index(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """A row for each shard: its inverted index, packed."""
 
     def fold(batches):
-        kept, n, size = [], 0, 0
+        ids_, sizes_, words_, coded, n, size = [], [], [], [], 0, 0
+
+        def code() -> None:
+            """Each distinct word is hashed once for many documents."""
+            found = pa.concat_arrays(words_).dictionary_encode()
+            coded.append((hashed(found.dictionary), found.indices.to_numpy()))
+            words_.clear()
 
         def shard() -> pa.RecordBatch:
-            nonlocal kept, n, size
-            ids, sizes, tokens = (np.concatenate(x) for x in zip(*kept))
-            kept, n, size = [], 0, 0
-            terms, which = np.unique(tokens, return_inverse=True)
+            nonlocal n, size
+            if words_:
+                code()
+            ids, sizes = np.concatenate(ids_), np.concatenate(sizes_)
+            terms = np.unique(np.concatenate([keys for keys, _ in coded]))
+            which = np.concatenate([np.searchsorted(terms, keys).astype(np.int32)[at] for keys, at in coded])
+            ids_.clear(), sizes_.clear(), coded.clear()
+            n = size = 0
             of = np.repeat(np.arange(len(sizes)), sizes)
             order = np.lexsort((sizes, kinds(which, of, len(sizes))))
             place = np.empty(len(order), np.int64)
             place[order] = np.arange(len(order))
             ids, sizes = ids[order], sizes[order]
-            pairs, tfs = np.unique(which * len(sizes) + place[of], return_counts=True)
+            pairs, tfs = np.unique(which * np.int64(len(sizes)) + place[of], return_counts=True)
             df = np.bincount(pairs // len(sizes), minlength=len(terms))
             return batch(SHARD, block=[uuid.uuid4().hex], ids=[pack(ids.view(np.uint64))], sizes=[pack(sizes)], terms=[pack_sorted(terms)], starts=[pack(df)], docs=[pack(pairs % len(sizes))], tfs=[pack(tfs)], n=[len(sizes)], tokens=[int(sizes.sum())])
 
@@ -125,11 +137,15 @@ def index(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
                 words, sizes = words_of(part.column(1))
-                kept.append((part.column(0).fill_null(LAST).to_numpy(), sizes.astype(np.int64), hashed(words)))
+                ids_.append(part.column(0).fill_null(LAST).to_numpy())
+                sizes_.append(sizes.astype(np.int64))
+                words_.append(words)
                 n, size = n + part.num_rows, size + int(sizes.sum())
                 if n >= SHARD_DOCS or size >= SHARD_TOKENS:
                     yield shard()
-        if kept:
+                elif sum(w.nbytes for w in words_) > WORD_BYTES:
+                    code()
+        if n:
             yield shard()
 
     return docs.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")).mapInArrow(fold, SHARD_DDL)
@@ -196,6 +212,8 @@ class Shard:
         order = np.argsort(docs.astype(np.uint16) if len(self.ids) <= 1 << 16 else docs, kind="stable")
         self.own_term, self.own_impact = term[order], impact[order]
         self.own_start = np.concatenate([[0], np.cumsum(np.bincount(docs, minlength=len(self.ids)))])
+        self.heavy = np.zeros(len(self.block_at) - 1)
+        np.maximum.at(self.heavy, np.arange(len(self.ids)) >> bits, np.bincount(docs, impact, len(self.ids)))
         self.code = np.full(len(own), -1, np.int32)
         self.buffers = np.empty(0, np.int64), np.empty(0)
         self.asked = np.zeros(len(own) * max(1, min(16, (1 << 22) // max(len(own), 1))), bool)
@@ -261,7 +279,7 @@ class Shard:
             if self.counting:
                 self.all += int(size[code].sum())
             reach = np.bincount(q, most[code], n)
-            live = reach >= bound
+            live = np.minimum(reach, self.heavy[nth] + SLACK) >= bound
             number = np.flatnonzero(live)
             if not len(number):
                 continue
