@@ -89,6 +89,23 @@ def test_line_ends(spark):
     assert {r.sheep_id: r.xml for r in delivery.readable(docs).collect() if r.xml is not None} == {1: "a\nb\nc\nd", 2: "a\nb"}
 
 
+def test_windows_are_dealt_in_many_tasks(spark):
+    """However few their bytes: Spark would merge these in a task or two."""
+    texts = spark.range(400).selectExpr("int(240) as gen", "id * 256 as sheep_id", "string(id) as xml")
+    packed = delivery.windows(texts).select("lo", "body", F.spark_partition_id().alias("task")).collect()
+    assert sorted(r.lo for r in packed) == [i * 256 for i in range(400)]
+    assert len({r.task for r in packed}) > 2 * spark.sparkContext.defaultParallelism
+    assert all(delivery.from_body(bytes(r.body)) == {r.lo: str(r.lo // 256)} for r in packed)
+
+
+def test_small_bodies_of_much_text(spark):
+    """A batch of bodies whose texts are more than one array of texts can hold."""
+    n, text = 2_200, "x" * 1_000_000
+    bodies = spark.createDataFrame([(240, bytearray(delivery.body({7: text})))], "gen int, body binary").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(n)))).coalesce(1)
+    got = delivery.unpacked(bodies.select("gen", "body")).agg(F.count("*").alias("rows"), F.sum(F.length("xml")).alias("chars"), F.min("sheep_id").alias("id")).first()
+    assert (got.rows, got.chars, got.id) == (n, n * len(text), 7)
+
+
 def test_numbers(spark):
     rows = spark.createDataFrame([("1_0",), ("1.5f",), (" 2 ",), ("nan",), (None,), ("1e3",), ("3.0",)], "t string")
     found = rows.select(lenient.to_float(F.col("t")).alias("f"), lenient.to_int(F.col("t")).alias("i")).collect()
